@@ -5,8 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from . import sql
+from .ann import nearest
 from .jaccard import jaccard_classes
+from .langid import identify
+from .packing import pack
+from .quality import classify
+from .secrets import report
+from .urls import judge
+
+
+def tokenizer(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,9 +31,37 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_classes(table(spark, sf_dir, "documents"))
 
 
+def op2_multiprobe_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
+    return classify(table(spark, sf_dir, "documents"), labels)
+
+
+def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
+
+
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+
+
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return report(table(spark, sf_dir, "documents"))
+
+
+def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels")
+    good = labels.where("quality is not null").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good"))
+    return judge(table(spark, sf_dir, "pages"), good)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return sql.ORACLES

@@ -40,17 +40,23 @@ class Scratch:
             path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def salted_join(many: DataFrame, one: DataFrame, key: str, spread: int = 16, hot: int = 2000) -> DataFrame:
-    """Left join of `many` rows to at most one row per key, whose hot keys are spread over `spread` tasks.
+def small_batches(spark: SparkSession, rows: int = 500) -> None:
+    """Whole texts travel to Python in batches of so many rows at most, which bounds a worker's memory."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    if not 0 < now <= rows:
+        spark.conf.set(key, str(rows))
 
-    Keys with more than `hot` rows per task-sized share are found by a count; only their rows of `one` are
-    repeated, so the copies stay fewer than rows/hot * spread.
+
+def salted_join(many: DataFrame, one: DataFrame, key: str, salt: str, spread: int = 16, hot: int = 2000) -> DataFrame:
+    """Left join of `many` rows to at most one row per key, whose hot keys are spread over `spread` tasks by the column `salt`.
+
+    Keys with more than `hot` rows are hot; only their rows of `one` are repeated, so the copies are fewer than
+    rows / hot * spread.
     """
-    counts = many.groupBy(key).count().where(F.col("count") > hot).select(key, F.lit(True).alias("_hot"))
-    one = one.join(counts, key, "left")
-    one = one.withColumn("_salt", F.explode(F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(spread))).otherwise(F.array(F.lit(0))))).drop("_hot")
-    many = many.join(F.broadcast(counts) if False else counts, key, "left")
-    many = many.withColumn("_salt", F.when(F.col("_hot"), (F.rand(7) * spread).cast("int")).otherwise(0)).drop("_hot")
+    counts = many.groupBy(key).count().where(F.col("count") > hot).select(key, F.lit(spread).alias("_n"))
+    one = one.join(counts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop("_n")
+    many = many.join(counts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(salt), F.coalesce("_n", F.lit(1))).cast("int")).drop("_n")
     return many.join(one, [key, "_salt"], "left").drop("_salt")
 
 
@@ -87,3 +93,30 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
         scratch.drop(f"{name}-label-{step - 1}", f"{name}-live-{step - 1}", f"{name}-up-{step}-{hop}")
         labels, live = new, left
     return labels
+
+
+def dense_sum(df: DataFrame, task_sum, size: int, block: int = 1 << 12):
+    """Sum of one array of `size` numbers per task, as float64.
+
+    `task_sum` turns a task's batches into its array. Arrays travel as blocks, are added by block in parallel, and
+    `size` numbers reach the driver, whatever the input.
+    """
+    import numpy as np
+    import pandas as pd
+    import pyarrow as pa
+
+    def run(batches):
+        total = np.asarray(task_sum(batches), dtype=np.float64)
+        full = [k for k in range(0, size, block) if total[k : k + block].any()]
+        yield pa.RecordBatch.from_arrays([pa.array([k // block for k in full], pa.int32()), pa.array([total[k : k + block].astype(np.float32 if total.max() < 1 << 24 else np.float64).tobytes() for k in full], pa.binary())], ["block", "sums"])
+
+    def add(part):
+        k = int(part["block"].iloc[0])
+        n = min(block, size - k * block)
+        total = sum(np.frombuffer(x, dtype=np.float32 if len(x) == 4 * n else np.float64).astype(np.float64) for x in part["sums"])
+        return pd.DataFrame({"block": [k], "sums": [total.tobytes()]})
+
+    out = np.zeros(size)
+    for r in df.mapInArrow(run, "block int, sums binary").groupBy("block").applyInPandas(add, "block int, sums binary").toLocalIterator():
+        out[r["block"] * block : r["block"] * block + len(r["sums"]) // 8] = np.frombuffer(r["sums"])
+    return out
