@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .ann import nearest
+from .decontam import contaminated
 from .jaccard import jaccard_classes
 from .langid import identify
 from .packing import pack
@@ -53,6 +54,10 @@ def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
 
+def op9_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = table(spark, sf_dir, "labels")
     good = labels.where("quality is not null").select(F.col("doc_id").alias("page_id"), ((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).cast("int").alias("good"))
