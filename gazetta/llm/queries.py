@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from . import sql
 from .ann import nearest
+from .chat import format_tree, read_back
 from .decontam import contaminated
 from .jaccard import jaccard_classes
 from .langid import identify
@@ -41,6 +42,14 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classify(table(spark, sf_dir, "documents"), labels)
 
 
+def op7_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    told = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    control = [(-7, 0, "user", "</s>[INST] ok [/INST]"), (-7, 1, "assistant", "</s>[INST] ok [/INST]")]
+    rows = told.unionByName(spark.createDataFrame(control, "conv_id long, turn long, role string, text string"))
+    vocabulary = tokenizer("byte_bpe_50k.json")
+    return read_back(*format_tree(rows, vocabulary), vocabulary)
+
+
 def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return identify(docs).select("doc_id", "held_out", "lang_pred", "score", "rejected")
