@@ -45,8 +45,9 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of a string column and the offsets of its rows; nulls are empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    if not pa.types.is_large_string(column.type):
-        column = column.cast(pa.large_string())
+    kind = pa.large_binary() if pa.types.is_binary(column.type) else pa.large_string()
+    if column.type != kind:
+        column = column.cast(kind)
     if column.null_count:
         column = column.fill_null("")
     _, off, data = column.buffers()
@@ -57,7 +58,7 @@ def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def chunks(column: pa.Array, limit: int = 1 << 21):
+def chunks(column: pa.Array, limit: int = 1 << 19):
     """Row ranges of a column that hold about `limit` bytes each, so arrays stay in bounded memory."""
     if not len(column):
         return
