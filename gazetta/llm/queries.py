@@ -13,6 +13,7 @@ from .chat import format_tree, read_back
 from .decontam import contaminated
 from .jaccard import jaccard_classes
 from .langid import identify
+from .mixing import score
 from .packing import pack
 from .quality import classify
 from .secrets import report
@@ -59,6 +60,10 @@ def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return report(table(spark, sf_dir, "documents"))
 
