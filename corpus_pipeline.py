@@ -1,12 +1,60 @@
-"""Corpus preparation in stages, each one operator over all that its predecessor kept."""
+"""Corpus preparation in five stages, each one operator over all that its predecessor kept.
+
+A stage takes (spark, docs, sf_dir) and returns a DataFrame with the columns of `documents`, the last one the packed
+pieces. Between stages rows are written and read again, so a lost executor costs one stage's tasks at most. Null ids
+stay null and are never dropped as copies; empty tables pass through every stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gazetta.llm.decontam import contaminated
+from gazetta.llm.jaccard import jaccard_classes
+from gazetta.llm.langid import identify
+from gazetta.llm.packing import pack
+from gazetta.llm.queries import table, tokenizer
+from gazetta.llm.secrets import redact
+from gazetta.llm.shared import Scratch
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told with confidence; texts without a letter go."""
+    return identify(docs).where(~F.col("rejected")).select(docs.columns)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the smallest id of each group that 5-word shingles link at a similarity of 0.75."""
+    gone = jaccard_classes(docs).where("doc_id <> component_id").select("doc_id").distinct()
+    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+
+
+def benchmark_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that repeat no benchmark item."""
+    hit = contaminated(docs, table(spark, sf_dir, "benchmark")).select("doc_id").distinct()
+    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+
+
+def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with a mask for every secret."""
+    return redact(docs).withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 1024 tokens."""
+    return pack(docs, tokenizer("byte_bpe_50k.json"))
+
 
-STAGES: list = []
-ORACLE_SQL = None
+STAGES = [("language", language), ("near_copies", near_copies), ("benchmark_leaks", benchmark_leaks), ("secrets", secrets), ("packing", packing)]
+ORACLE_SQL = None  # language identification and SimHash are beyond SQL; tests hold the stages against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    scratch = Scratch(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for k, (name, stage) in enumerate(STAGES):
+        docs = scratch.write(stage(spark, docs, sf_dir), f"{k}-{name}")
+        if k:
+            scratch.drop(f"{k - 1}-{STAGES[k - 1][0]}")
+    return docs

@@ -78,25 +78,38 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     return F.when(text.rlike(rule.gate), F.get(F.transform(parts, walk), F.lit(0))).otherwise(none)
 
 
-def scan(history: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
-    """Findings of every row of a history, and the ledger after the scan.
+def named(text: Column) -> Column:
+    """The name of a text's blob."""
+    return F.unhex(F.sha2(text.cast("binary"), 256))
 
-    `history` has one row for each version of each path. `ledger` has (blob, rule, spans), one row for each pair
-    scanned so far; without one, all pairs are unseen. Findings have (path, blob, spans).
-    """
-    history = history.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    history = history.withColumn("blob", F.unhex(F.sha2(F.col("text").cast("binary"), 256)))
+
+def scanned(history: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None) -> DataFrame:
+    """One row for each blob of (blob, text): its text, spans known before, and new spans of each unseen rule (s0, s1, ...)."""
     blobs = history.groupBy("blob").agg(F.first("text").alias("text"))
-    names = [r.name for r in rules]
     if ledger is None:
         todo = blobs.withColumn("old", F.array().cast("array<string>")).withColumn("before", F.array().cast(SPAN))
     else:
-        seen = ledger.where(F.col("rule").isin(names)).groupBy("blob").agg(F.collect_set("rule").alias("old"), F.flatten(F.collect_list("spans")).alias("before"))
+        seen = ledger.where(F.col("rule").isin([r.name for r in rules])).groupBy("blob").agg(F.collect_set("rule").alias("old"), F.flatten(F.collect_list("spans")).alias("before"))
         todo = blobs.join(seen, "blob", "left").withColumn("old", F.coalesce("old", F.array().cast("array<string>"))).withColumn("before", F.coalesce("before", F.array().cast(SPAN)))
     new = [F.when(~F.array_contains("old", r.name), spans(F.col("text"), r, k)).alias(f"s{k}") for k, r in enumerate(rules)]
-    found = todo.select("blob", "old", "before", *new)
-    fresh = F.flatten(F.array(*(F.coalesce(f"s{k}", F.array().cast(SPAN)) for k in range(len(rules)))))
-    each = found.select("blob", F.array_sort(F.concat("before", fresh)).alias("spans"))
+    return todo.select("blob", "text", "before", *new)
+
+
+def merged(n: int) -> Column:
+    """All spans of a scanned blob, in order."""
+    return F.array_sort(F.concat("before", F.flatten(F.array(*(F.coalesce(f"s{k}", F.array().cast(SPAN)) for k in range(n))))))
+
+
+def scan(history: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """Findings of every row of a history, and the ledger after the scan.
+
+    `history` has one row for each version of each path. `ledger` has (blob, rule, spans), one row for each pair
+    scanned so far; without one, all pairs are unseen. Findings have (path, blob, spans).
+    """
+    history = history.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    history = history.withColumn("blob", named(F.col("text")))
+    found = scanned(history, rules, ledger)
+    each = found.select("blob", merged(len(rules)).alias("spans"))
     done = found.select("blob", F.explode(F.array(*(F.struct(F.lit(r.name).alias("rule"), F.col(f"s{k}").alias("spans")) for k, r in enumerate(rules)))).alias("x"))
     done = done.select("blob", "x.rule", "x.spans").where("spans is not null")
     findings = history.select("path", "blob").join(each.where(F.size("spans") > 0), "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
@@ -116,23 +129,25 @@ def report(docs: DataFrame) -> DataFrame:
     return found.select(F.col("path").alias("doc_id"), count("assign"), count("access"), count("hex"), F.sha2(written(base), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
-def redact(docs: DataFrame, mask: str = "[SECRET]", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRET]", text_col: str = "text") -> DataFrame:
     """The documents, all columns as before, with every span of every blob replaced by a mask.
 
-    Overlapping spans are covered by one mask. The redacted text belongs to the blob, so it is joined back to all rows.
+    Overlapping spans share one mask. The redacted text belongs to the blob and is joined back to all its rows, so
+    texts are shuffled once. A null text stays null.
     """
-    blob = F.unhex(F.sha2(F.coalesce(F.col(text_col).cast("string"), F.lit("")).cast("binary"), 256))
-    found, _ = scan(docs, path_col=id_col, text_col=text_col)
-    found = found.where(F.size("spans") > 0).groupBy("blob").agg(F.first("spans").alias("_spans"))
-    out = docs.withColumn("_blob", blob).join(found.withColumnRenamed("blob", "_blob"), "_blob", "left")
-    text = F.col(text_col)
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    found = scanned(docs.select(named(text).alias("blob"), text.alias("text")), rules, None)
+    found = found.select("blob", "text", merged(len(rules)).alias("spans"))
     cut = F.aggregate(
-        "_spans",
+        "spans",
         F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
         lambda acc, s: F.struct(
             F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
+            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
         ),
-        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.char_length(text))),
+        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))),
     )
-    return out.withColumn(text_col, F.when(F.col("_spans").isNull(), text).otherwise(cut)).select(docs.columns)
+    found = found.select(F.col("blob").alias("_blob"), F.when(F.size("spans") > 0, cut).otherwise(F.col("text")).alias("_text"))
+    rest = docs.withColumn("_blob", named(text)).withColumn("_null", F.col(text_col).isNull()).drop(text_col)
+    out = rest.join(found, "_blob", "left").withColumn(text_col, F.when(~F.col("_null"), F.col("_text")))
+    return out.select(docs.columns)
