@@ -1,6 +1,6 @@
 """Quality classifier: naive-Bayes features under a linear support vector machine.
 
-Features are indicators of hashed word 1- and 2-grams and byte 3-grams. Class counts of all labelled learning rows
+Features are indicators of hashed word 1- and 2-grams and byte 3-grams, and of the share of 2-grams that repeat one word. Class counts of all labelled learning rows
 give each feature its log-count ratio; indicators scaled by these ratios, at unit length, train a linear model with
 squared hinge loss by dual coordinate descent. Its margin becomes a probability by a logistic fit on rows left out of the descent.
 
@@ -32,12 +32,16 @@ def features(text: pa.Array):
         data, offsets = K.utf8(text.slice(lo, hi - lo))
         h, at, _, _ = K.words(data, offsets)
         with np.errstate(over="ignore"):
+            # of 2-grams also how many repeat one word, as one of a few levels
+            same = np.concatenate([[0], np.cumsum(h[1:] == h[:-1]), [0]])
             one, two = (K.mix(h + np.uint64(1)) >> shift).astype(np.int32), (K.shingle(h, 2) >> shift).astype(np.int32)
             wide = data.astype(np.uint64)
             tri = (K.mix((wide[:-2] << np.uint64(16)) | (wide[1:-1] << np.uint64(8)) | wide[2:] | np.uint64(1 << 32)) >> shift).astype(np.int32) if len(data) > 2 else one[:0]
         for k in range(hi - lo):
             a, b, c, d = at[k], at[k + 1], offsets[k], offsets[k + 1]
-            yield np.unique(np.concatenate([one[a:b], two[a : max(a, b - 1)], tri[c : max(c, d - 2)]]))
+            share = (same[b - 1] - same[a]) / (b - a - 1) if b - a > 1 else 0.0
+            level = K.mix(np.array([1 << 40 | int(np.ceil(8 * share))], np.uint64)) >> shift
+            yield np.unique(np.concatenate([level.astype(np.int32), one[a:b], two[a : max(a, b - 1)], tri[c : max(c, d - 2)]]) if d > c else one[:0])
 
 
 class Model:
