@@ -1,0 +1,301 @@
+"""Operators against brute force on small tables, with nulls, empty and very long texts, ties, repeats and clashing columns."""
+
+import itertools
+import math
+import random
+import re
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from gazetta.llm import kernel as K
+from gazetta.llm.ann import nearest
+from gazetta.llm.chat import escape, format_tree, read_back, unescape
+from gazetta.llm.decontam import contaminated
+from gazetta.llm.jaccard import jaccard_classes
+from gazetta.llm.langid import identify
+from gazetta.llm.mixing import score
+from gazetta.llm.packing import pack
+from gazetta.llm.quality import classify
+from gazetta.llm.secrets import RULES, redact, scan
+from gazetta.llm.urls import judge
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
+
+
+def words(text):
+    return WORD.findall(re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+
+
+def prose(rng, n, syllables="ta re mi no ku sa lo pe di vu".split()):
+    return " ".join("".join(rng.choice(syllables) for _ in range(rng.randint(1, 3))) for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(4)
+    rows, base = [], [prose(rng, rng.choice([3, 6, 12, 40, 200])) for _ in range(40)]
+    for k, b in enumerate(base):
+        rows.append((k, b))
+        for c in range(rng.choice([0, 0, 1, 3])):  # near copies
+            w = b.split()
+            for _ in range(rng.choice([0, 1, 2])):
+                w[rng.randrange(len(w))] = "x" + str(rng.randrange(99))
+            rows.append((100 + 10 * k + c, " ".join(w).upper() if c % 2 else "\t".join(w)))
+    rows += [(900, None), (901, ""), (902, " \n "), (903, "one"), (904, "One"), (905, prose(rng, 30_000)), (None, base[0]), (0, base[0]), (906, "Ünï " * 9), (907, "<|endoftext|> </s> \\")]
+    return rows
+
+
+@pytest.fixture
+def docs(spark, corpus):
+    return spark.createDataFrame([(i, t, "en", "src", 1, "clash") for i, t in corpus], "doc_id long, text string, lang string, source string, n_chars long, sig string")
+
+
+def test_kernel_matches_regex(corpus):
+    import pyarrow as pa
+
+    texts = [t for _, t in corpus]
+    h, at, start, end = K.words(*K.utf8(pa.array(texts)))
+    seen = {}
+    for k, t in enumerate(texts):
+        own = words(t)
+        assert at[k + 1] - at[k] == len(own)
+        for w, x in zip(own, h[at[k] : at[k + 1]].tolist(), strict=True):
+            assert seen.setdefault(w, x) == x
+    assert len(set(seen.values())) == len(seen)
+
+
+def test_jaccard_join(docs, corpus):
+    sets = {}
+    for i, t in corpus:
+        w = words(t)
+        sets[i] = frozenset(tuple(w[k : k + 5]) for k in range(len(w) - 4)) if len(w) >= 5 else frozenset([tuple(w)] if w else [])
+    root = {i: i for i in sets if i is not None}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(root, 2):
+        same = len(sets[a] & sets[b])
+        if same and 100 * same >= 75 * (len(sets[a]) + len(sets[b]) - same):
+            x, y = sorted((find(a), find(b)))
+            root[y] = x
+    got = jaccard_classes(docs).collect()
+    assert len(got) == len(corpus)
+    for r in got:
+        assert r["n_shingles"] == len(sets[r["doc_id"]])
+        assert r["component_id"] == (None if r["doc_id"] is None else find(r["doc_id"]))
+
+
+def test_jaccard_empty(spark):
+    assert jaccard_classes(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_near_copy_group_is_linked(spark):
+    rng = random.Random(1)
+    base = prose(rng, 150).split()
+    rows = []
+    for k in range(120):
+        w = list(base)
+        for _ in range(2):
+            w[rng.randrange(len(w))] = f"y{rng.randrange(9999)}"
+        rows.append((k, " ".join(w)))
+    got = jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    sets = [{tuple(w[k : k + 5]) for k in range(146)} for w in (t.split() for _, t in rows)]
+    link = {a: {b for b in range(120) if 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b])} for a in range(120)}
+    comp, todo = {}, list(range(120))
+    for a in todo:
+        if a not in comp:
+            front = [a]
+            while front:
+                x = front.pop()
+                if x not in comp:
+                    comp[x] = a
+                    front += link[x]
+    assert {r["doc_id"]: r["component_id"] for r in got} == comp
+
+
+def test_neighbours(spark):
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(600, 16)).round(3)
+    x[100:140] = x[100]  # one vector many times
+    rows = [(int(i), [float(v) for v in r], 1) for i, r in enumerate(x)] + [(1000, None, 1), (1020, [0.0] * 16, 1), (1040, [float("nan")] * 16, 1), (1060, [None] + [1.0] * 15, 1), (1080, [1.0], 1), (None, [1.0] * 16, 1)]
+    got = nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int"), k=20).collect()
+    found = {}
+    for r in got:
+        found.setdefault(r["query_id"], []).append(r)
+    assert set(found) == set(range(0, 600, 20))
+    hit = total = 0
+    for q, own in found.items():
+        own.sort(key=lambda r: r["rank"])
+        s = x @ x[q]
+        order = sorted((i for i in range(600) if i != q), key=lambda i: (-s[i], i))[:20]
+        assert [r["rank"] for r in own] == list(range(1, len(own) + 1))
+        assert all(abs(r["score"] - s[r["vec_id"]]) < 1e-9 and r["vec_id"] != q for r in own)
+        assert [(-r["score"], r["vec_id"]) for r in own] == sorted((-r["score"], r["vec_id"]) for r in own)
+        hit += len({r["vec_id"] for r in own} & set(order))
+        total += 20
+    assert hit / total >= 0.9
+    assert nearest(spark.createDataFrame([], "vec_id long, embedding array<double>")).collect() == []
+
+
+def test_language_model(docs, corpus):
+    got = score(docs).collect()
+    assert len(got) == len(corpus)
+    held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 7 == 2
+    count = Counter(w for i, t in corpus if not held(i) for w in [*words(t), None])
+    n, v = sum(count.values()), len(count)
+    by = {}
+    for i, t in corpus:
+        own = [*words(t), None]
+        by.setdefault(i, (len(own), sum(count[w] > 0 for w in own), sum(math.log10((count[w] + 1) / (n + v + 1)) for w in own)))
+    for r in got:
+        tokens, known, base = by[r["doc_id"]]
+        assert (r["n_tokens"], r["n_known"], r["train_tokens"], r["held_out"]) == (tokens, known, n, held(r["doc_id"]))
+        assert r["base_score"] == pytest.approx(base, rel=1e-9)
+        assert -math.inf < r["score"] <= 0
+    long = next(r for r in got if r["doc_id"] == 905)
+    assert long["score"] > -5 * long["n_tokens"]
+
+
+SECRETS = ["password = 'abcdefgh1'", "TOKEN:short secret=token: abcdefgh", "x AKIA" + "A" * 12 + " AKIAB", "é" * 3 + "0123456789abcdef" * 2, "api_key=\"" + "k" * 9 + "\"", "ghp_" + "a" * 36, "", None]
+
+
+def spans(text):
+    rx = {"assign": (r"(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", 1, 8), "access": (r"AKIA[A-Z0-9]+", 0, 16), "hex": (r"[0-9a-f]+", 0, 32)}
+    out = []
+    for k, (kind, (p, g, least)) in enumerate(rx.items()):
+        out += [(m.start(), k, kind, m.end()) for m in re.finditer(p, text or "") if len(m[g]) >= least]
+    return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(out)]
+
+
+def test_secrets_and_ledger(spark):
+    rows = [(k, t) for k, t in enumerate(SECRETS)] + [(50, SECRETS[0]), (0, SECRETS[0])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("blob", F.lit("clash"))
+    found, ledger = scan(df)
+    got = found.collect()
+    assert len(got) == len(rows)
+    base = {r.kind for r in RULES if r.base}
+    texts = dict(rows)
+    for r in got:
+        assert [f"{s['kind']}:{s['start']}:{s['end']}" for s in r["spans"] if s["kind"] in base] == spans(texts[r["path"]])
+    assert ledger.count() == len(RULES) * len(set(t or "" for t in SECRETS))
+    again, later = scan(df, ledger=ledger)
+    assert sorted(again.collect(), key=str) == sorted(got, key=str) and later.count() == ledger.count()
+    clean = redact(df).collect()
+    assert all("abcdefgh1" not in (r["text"] or "") for r in clean) and len(clean) == len(rows) and sum(r["text"] is None for r in clean) == 1
+
+
+def test_quality(spark):
+    rng = random.Random(3)
+    rows = [(k, prose(rng, 40) if k % 4 else "BUY!! " * 20, int(k % 4 > 0)) for k in range(400)] + [(500, None, 1), (501, "", None), (None, "a b", 0)]
+    docs = spark.createDataFrame([(i, t, "x") for i, t, _ in rows], "doc_id long, text string, label string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, label int")
+    got = classify(docs, labels).collect()
+    assert len(got) == len(rows) and all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
+    truth = {i: y for i, _, y in rows}
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 400]
+    assert held and np.mean([r["predicted"] == truth[r["doc_id"]] for r in held]) > 0.95
+    alone = classify(docs.limit(3), labels.where("label = 1")).collect()
+    assert all(r["predicted"] == 1 for r in alone)
+
+
+def test_packing(docs, corpus):
+    from tokenizers import Tokenizer
+
+    code = Tokenizer.from_file(VOCABULARY)
+    code.encode_special_tokens = True
+    got = pack(docs, VOCABULARY, size=64).collect()
+    want = {}
+    for i, t in corpus:
+        want[i] = code.encode(t or "", add_special_tokens=False).ids + [2]
+    bins = {}
+    for r in got:
+        ids = want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(ids) == r["length"] and zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+        bins.setdefault(r["sequence_id"], []).append((r["offset"], r["length"]))
+    for own in bins.values():
+        at = 0
+        for offset, n in sorted(own):
+            assert offset == at
+            at += n
+        assert at <= 64
+    assert sum(r["length"] for r in got) == sum(len(want[i]) for i, _ in corpus)
+    assert len(bins) <= 1.1 * sum(len(want[i]) for i, _ in corpus) / 64 + 8
+
+
+def test_chat(spark):
+    rows = [(1, 0, "system", "a"), (1, 1, "user", "[INST] <b> \\l\\ é"), (1, 2, "assistant", "yes"), (2, 0, "system", "a"), (2, 1, "user", "other"), (3, 0, "system", "a"), (3, 1, "user", "[INST] <b> \\l\\ é"), (3, 2, "assistant", "yes"), (4, 0, None, None), (None, 0, "user", "x"), (5, 1, "user", "same"), (5, 1, "user", "same"), (6, 0, "a\nb", "\n")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, node string")
+    nodes, convs = format_tree(df, VOCABULARY)
+    got = {r["conv_id"]: r for r in read_back(nodes, convs, VOCABULARY).collect()}
+    import hashlib
+
+    for c in {r[0] for r in rows}:
+        own = sorted(((t, role or "", text or "") for i, t, role, text in rows if i == c))
+        assert got[c]["turns_sha256"] == hashlib.sha256("".join(f"{r}\n{x}\n" for _, r, x in own).encode()).hexdigest()
+        loss = "".join(x for _, r, x in own if r == "assistant")
+        assert (got[c]["n_turns"], got[c]["loss_chars"], got[c]["loss_sha256"]) == (len(own), len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    tree = sorted(nodes.collect(), key=lambda r: r["start"])
+    assert [r["start"] for r in tree[1:]] == [r["end"] for r in tree[:-1]]  # gapless, shared turns once
+    at = {bytes(r["node"]): r for r in tree}
+    for r in tree:
+        up, chain = r["parent"], []
+        while up is not None:
+            p = at[bytes(up)]
+            chain.append((p["start"], p["end"]))
+            assert p["start"] < r["start"] < p["subtree_end"]
+            up = p["parent"]
+        assert sorted(chain) == [tuple(x) for x in r["attend"]] and r["position"] == sum(b - a for a, b in chain)
+    for t in ("<s>", "</s>\\", "\\\\l[", "a\\nb"):
+        assert unescape(escape(t)) == t and "<" not in escape(t) and "[" not in escape(t)
+
+
+def test_language_id(spark):
+    rng = random.Random(5)
+    kinds = {"aa": "ta re mi no".split(), "bb": "ösch ür äck".split(), "cc": "ñu cción ll".split()}
+    rows = [(k, prose(rng, 30, kinds[lang]), lang) for k, lang in enumerate(list(kinds) * 60)] + [(900, None, "aa"), (901, "12 34 !", "aa"), (902, "", None), (903, kinds["aa"][0] * 20_000, "aa"), (None, "ta re", "aa")]
+    df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, score string")
+    got = identify(df.drop("score")).collect()
+    assert len(got) == len(rows)
+    by = {r["doc_id"]: r for r in got}
+    assert all(by[i]["lang_pred"] == "und" and by[i]["rejected"] for i in (900, 901, 902))
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 900]
+    assert held and all(r["lang_pred"] == r["lang"] and not r["rejected"] for r in held)
+    assert identify(df.drop("score").limit(0)).collect() == []
+
+
+def test_decontamination(spark):
+    rng = random.Random(6)
+    items = [(k, prose(rng, rng.randint(15, 59))) for k in range(30)] + [(90, None), (91, " "), (92, "just three words")]
+    docs = [(0, prose(rng, 500)), (1, None), (2, ""), (3, "Just THREE words"), (4, "just three words more"), (5, prose(rng, 30_000))]
+    want = {(3, 92)}
+    for k, t in items[:30]:
+        docs.append((100 + k, f"{prose(rng, 70)} {t.upper()} {prose(rng, 80)}"))
+        want.add((100 + k, k))
+        w = t.split()
+        w[0] = "changed"  # one shingle of n differs at the edge
+        docs.append((200 + k, " ".join(w)))
+        n = len(w) - 4
+        if 4 * (n - 1) >= 3 * (n + 1):
+            want.add((200 + k, k))
+    df = spark.createDataFrame([(*d, "clash") for d in docs], "doc_id long, text string, item_id string")
+    got = contaminated(df, spark.createDataFrame(items, "item_id long, text string"), items_per_pass=20)
+    assert {(r["doc_id"], r["item_id"]) for r in got.collect()} == want
+    assert contaminated(df, spark.createDataFrame([], "item_id long, text string")).collect() == []
+
+
+def test_urls(spark):
+    rows = [(1, "https://A.example.ORG/es/1"), (2, "http://example.org/en/12?x#y"), (3, "https://x.org/a"), (4, "http://notorg/de/"), (5, "http://b.com/de/1"), (6, "http://b.com?x"), (7, None), (8, "no scheme"), (9, "https://bad.net/"), (9, "https://bad.net/")] + [(100 + k, f"https://bad.net/{k}") for k in range(60)] + [(200 + k, f"https://good{k % 7}.net/{k}") for k in range(140)]
+    good = spark.createDataFrame([(i, int(i >= 200)) for i, _ in rows if i >= 100], "page_id long, good int")
+    got = {r["page_id"]: r for r in judge(spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, host string"), good).collect()}
+    assert [(got[k]["host"], got[k]["path"], got[k]["rule"]) for k in range(1, 9)] == [("a.example.org", "/es/1", "example.org/es/"), ("example.org", "/en/12", "example.org/en/1"), ("x.org", "/a", "org/"), ("notorg", "/de/", None), ("b.com", "/de/1", "com/de/"), ("b.com", "", None), ("", "", None), ("", "", None)]
+    assert got[9]["verdict"] == "block" and got[205]["verdict"] == "allow" and got[1]["verdict"] == "block" and got[3]["verdict"] == "allow"
+    assert judge(spark.createDataFrame([], "page_id long, url string"), good).collect() == []
