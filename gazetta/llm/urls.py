@@ -61,15 +61,16 @@ def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> t
     return name, verdict
 
 
-def strength(units: DataFrame, low: float = 1.0, high: float = 1000.0) -> DataFrame:
-    """One row (k): prior strength from units (n, y) by moments, within [low, high]."""
-    p = F.col("y") / F.col("n")
-    m = units.agg(F.sum("y").alias("y"), F.sum("n").alias("n")).select((F.col("y") / F.col("n")).alias("m"))
-    s = units.crossJoin(F.broadcast(m)).agg(F.sum(F.col("n") * (p - F.col("m")) ** 2).alias("ss"), F.sum("n").alias("n"), F.count("*").alias("h"), F.max("m").alias("m"))
-    v, s2 = F.col("m") * (1 - F.col("m")), F.col("ss") / F.col("n")
-    between = s2 - v * F.col("h") / F.col("n")
-    k = F.when((between > 0) & (v > s2), (v - s2) / between).otherwise(F.lit(high))
-    return s.select(F.coalesce(F.greatest(F.lit(low), F.least(F.lit(high), k)), F.lit(high)).alias("k"))
+def strength(units: DataFrame, low: float = 1.0, high: float = 1000.0) -> float:
+    """Prior strength from units (n, y) by moments, within [low, high]; sums of all units, one row, come to the driver."""
+    units = units.where("n > 0").select(F.col("n").cast("double").alias("n"), F.col("y").cast("double").alias("y"))
+    r = units.agg(F.sum("n").alias("n"), F.sum("y").alias("y"), F.count("*").alias("h"), F.sum(F.col("y") * F.col("y") / F.col("n")).alias("yy")).first()
+    if not r["n"]:
+        return high
+    m = r["y"] / r["n"]
+    spread, v = r["yy"] / r["n"] - m * m, m * (1 - m)
+    between = spread - v * r["h"] / r["n"]
+    return max(low, min(high, (v - spread) / between)) if between > 0 and v > spread else high
 
 
 def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...] = RULES, threshold: float = 0.7, z: float = 1.645) -> DataFrame:
@@ -84,15 +85,13 @@ def judge(pages: DataFrame, outcomes: DataFrame, rules: tuple[UrlRule, ...] = RU
     every = pages.groupBy("host").agg(F.count("*").alias("pages")).join(hosts, "host", "left").select("host", domain_of(F.col("host")).alias("domain"), suffix_of(F.col("host")).alias("suffix"), F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("y", F.lit(0)).alias("y"))
     domains = every.groupBy("domain", "suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
     suffixes = domains.groupBy("suffix").agg(F.sum("n").alias("n"), F.sum("y").alias("y"))
-    total = suffixes.agg(F.sum("n").alias("n"), F.sum("y").alias("y")).select(F.coalesce(F.when(F.col("n") > 0, F.col("y") / F.col("n")), F.lit(0.5)).alias("m0"))
-    k = [strength(x.where("n > 0")).select(F.col("k").alias(name)) for x, name in ((suffixes, "k1"), (domains, "k2"), (every, "k3"))]
-    consts = total  # one row of four numbers
-    for x in k:
-        consts = consts.crossJoin(x)
-    post = lambda y, n, k, m: (F.col(y) + F.col(k) * F.col(m)) / (F.col(n) + F.col(k))
-    s = suffixes.crossJoin(F.broadcast(consts)).select("suffix", "k2", "k3", post("y", "n", "k1", "m0").alias("m1"))
-    d = domains.join(s, "suffix").select("domain", "k3", post("y", "n", "k2", "m1").alias("m2"))
-    h = every.join(d, "domain").select("host", "n", post("y", "n", "k3", "m2").alias("m3"), (F.col("n") + F.col("k3")).alias("w"))
+    total = suffixes.agg(F.sum("n").alias("n"), F.sum("y").alias("y")).first()
+    m0 = total["y"] / total["n"] if total["n"] else 0.5
+    k1, k2, k3 = (strength(x) for x in (suffixes, domains, every))
+    post = lambda k, m: (F.col("y") + k * m) / (F.col("n") + k)
+    s = suffixes.select("suffix", post(k1, F.lit(m0)).alias("m1"))
+    d = domains.join(s, "suffix").select("domain", post(k2, F.col("m1")).alias("m2"))
+    h = every.join(d, "domain").select("host", "n", post(k3, F.col("m2")).alias("m3"), (F.col("n") + k3).alias("w"))
     h = h.select("host", F.col("n").alias("n_labels"), F.col("m3").alias("reputation"), (F.col("m3") + z * F.sqrt(F.col("m3") * (1 - F.col("m3")) / (F.col("w") + 1))).alias("upper"))
     out = pages.join(h, "host", "left")
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
