@@ -10,9 +10,10 @@ Template of a turn: `<s>` role newline text `</s>`. In roles and texts a backsla
 `[` becomes `\\b`, and in roles a newline becomes `\\n`; so no control string of this or the bracket style can
 appear inside a text, and the way back is exact.
 
-The stream is laid out by a range sort over paths of node hashes and running sums inside ranges, with one total for
-each range on the driver; a first turn that a third of all conversations share is one node, and its children are
-spread over ranges like any others.
+The stream is laid out by a range sort of the distinct conversations by their paths of node hashes, where a node is new in
+the first line that holds it, and by running sums inside ranges, with one total for each range on the driver. So work grows
+with the number of turns, however long a conversation is, and a first turn that a third of all conversations share
+is one node whose children are spread over ranges like any others.
 
 Defined cases: rows go by turn number, of equal ones by role and text, nulls first; a null text or role is empty; rows with a
 null conversation id form one conversation with a null id; equal conversations share all nodes; other columns are
@@ -24,12 +25,11 @@ from __future__ import annotations
 import hashlib
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import Scratch, salted_join
+from .shared import Scratch, salted_join, small_batches
 
 OPEN, CLOSE = "<s>", "</s>"
 DEPTH = 16  # bytes of a node's hash
@@ -84,67 +84,108 @@ def chains(rows: DataFrame) -> DataFrame:
     return convs.mapInArrow(run, "conv_id long, turns array<struct<turn:long,role:string,text:string>>, nodes array<binary>")
 
 
-def tokens_of(nodes: DataFrame, vocabulary: str) -> DataFrame:
-    """Token ids of every node, and which of them the loss covers."""
-    fields = ["node", "path", "header", "body", "ending"]
+def laid_out(convs: DataFrame, scratch: Scratch, ranges: int) -> DataFrame:
+    """Distinct lines in depth-first order: leaf, range, k, nodes, turns and how many first nodes the line before has too.
+
+    A line is the path of a conversation; its bytes order lines such that lines with a common start stand together, so a
+    node is new in the first line that holds it.
+    """
+    lines = convs.groupBy(F.element_at("nodes", -1).alias("leaf")).agg(F.first("nodes").alias("nodes"), F.first("turns").alias("turns"))
+    lines = lines.withColumn("path", F.array_join(F.transform("nodes", lambda x: F.hex(x)), ""))
+    # written once: the ranges are then fixed, whatever is recomputed later
+    lines = scratch.write(lines.repartitionByRange(ranges, "path").withColumn("range", F.spark_partition_id()), "lines")
+    order = Window.partitionBy("range").orderBy("path")
+    lines = lines.withColumn("k", F.row_number().over(order)).withColumn("prev", F.lag("nodes").over(order))
+    # across a border the line before is the last one of the nearest range before: one line for each range
+    last = sorted(lines.groupBy("range").agg(F.max_by("nodes", "path").alias("nodes")).collect(), key=lambda r: r["range"])
+    border = [(b["range"], a["nodes"]) for a, b in zip(last, last[1:])]
+    border = convs.sparkSession.createDataFrame(border, "range int, border array<binary>")
+    lines = lines.join(F.broadcast(border), "range", "left").withColumn("prev", F.coalesce("prev", "border"))
+    same = F.zip_with("nodes", F.coalesce("prev", F.array().cast("array<binary>")), lambda x, y: F.coalesce(x == y, F.lit(False)))
+    differs = F.array_position(same, False)  # from 1; 0 if the line before holds this one whole, which cannot be
+    return lines.withColumn("old", (F.when(differs > 0, differs - 1).otherwise(F.size("nodes"))).cast("int")).select("leaf", "range", "k", "nodes", "turns", "old")
+
+
+def tokenized(lines: DataFrame, vocabulary: str) -> DataFrame:
+    """Token ids of the new nodes of every line, by turn in three parts."""
+    kind = pa.list_(pa.list_(pa.int32()))
 
     def run(batches):
         code = tokenizer(vocabulary)
         for batch in batches:
-            heads, bodies, ends = [], [], []
-            for role, text in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                for part, into in zip(render(role, text), (heads, bodies, ends), strict=True):
-                    into.append(code.encode(part, add_special_tokens=False).ids)
-            kind = pa.list_(pa.int32())
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(4), *(pa.array(x, kind) for x in (heads, bodies, ends))], ["node", "path", "loss", *fields[2:]])
+            parts = []
+            for turns, old in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist(), strict=True):
+                parts.append([[code.encode(p, add_special_tokens=False).ids for p in render(t["role"], t["text"])] for t in turns[old:]])
+            flat = [sum(len(i) for t in own for i in t) for own in parts]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], batch.column(5), pa.array([[t["role"] == "assistant" for t in turns] for turns in batch.column(4).to_pylist()], pa.list_(pa.bool_())), pa.array(parts, pa.list_(kind)), pa.array(flat, pa.int64())], ["leaf", "range", "k", "nodes", "old", "loss", "ids", "n"])
+
+    return lines.mapInArrow(run, "leaf binary, range int, k int, nodes array<binary>, old int, loss array<boolean>, ids array<array<array<int>>>, n long")
+
+
+NODE = "node binary, parent binary, depth int, start long, end long, position long, attend array<struct<start:long,end:long>>, ids array<int>, loss_from int, loss_to int"
 
-    return nodes.select("node", "path", "role", "text", (F.col("role") == "assistant").alias("loss")).mapInArrow(run, "node binary, path binary, loss boolean, header array<int>, body array<int>, ending array<int>")
+
+def placed(lines: DataFrame) -> DataFrame:
+    """New nodes of every line with place, position and attention intervals; `before` are the places of its shared nodes."""
+
+    def run(batches):
+        for batch in batches:
+            out: dict[str, list] = {c.split()[0]: [] for c in NODE.split(", ") if " " in c}
+            for r in batch.to_pylist():
+                spans = sorted((x["depth"], x["start"], x["end"]) for x in r["before"] or [])
+                attend: list[list[int]] = []
+                position = 0
+
+                def reach(a, b, attend=attend):
+                    if attend and attend[-1][1] == a:  # touching intervals are one
+                        attend[-1][1] = b
+                    else:
+                        attend.append([a, b])
+
+                for _, a, b in spans:
+                    reach(a, b)
+                    position += b - a
+                at = r["start"]
+                for d, (head, body, end) in enumerate(r["ids"], start=r["old"]):
+                    n = len(head) + len(body) + len(end)
+                    row = (r["nodes"][d], r["nodes"][d - 1] if d else None, d, at, at + n, position, [{"start": a, "end": b} for a, b in attend], head + body + end, len(head), len(head) + (len(body) if r["loss"][d] else 0))
+                    for c, v in zip(out, row, strict=True):
+                        out[c].append(v)
+                    reach(at, at + n)
+                    at, position = at + n, position + n
+            i64, span = pa.int64(), pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            kinds = [pa.binary(), pa.binary(), pa.int32(), i64, i64, i64, span, pa.list_(pa.int32()), pa.int32(), pa.int32()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out.values(), kinds, strict=True)], list(out))
+
+    return lines.select("nodes", "old", "loss", "ids", "start", "before").mapInArrow(run, NODE)
 
 
 def format_tree(rows: DataFrame, vocabulary: str, scratch: Scratch | None = None, ranges: int | None = None) -> tuple[DataFrame, DataFrame]:
     """(nodes, convs): emitted nodes, and for each conversation its path through them.
 
-    nodes: node, parent, depth, start, end, subtree_end, position, attend (ancestor intervals), ids, loss_from, loss_to
-    (offsets into ids). convs: conv_id, nodes.
+    nodes: node, parent, depth, start, end, position, attend (intervals of its ancestors, touching ones merged, so a chain
+    has one), ids, loss_from, loss_to (offsets into ids). convs: conv_id, nodes.
     """
     spark = rows.sparkSession
+    small_batches(spark)
     scratch = scratch or Scratch(spark, "chat")
     convs = scratch.write(chains(rows), "convs")
-    turns = convs.select("turns", "nodes", F.posexplode("nodes").alias("depth", "node"))
-    # a path is the hashes down to the node, so the order of paths is depth first and a node comes right before its subtree
-    turns = turns.select("node", "depth", F.slice("nodes", 1, F.col("depth") + 1).alias("line"), F.get("turns", F.col("depth")).alias("t"))
-    nodes = turns.groupBy("node").agg(F.first("depth").alias("depth"), F.first("line").alias("line"), F.first("t").alias("t"))
-    nodes = nodes.select("node", "depth", "line", F.aggregate("line", F.lit(b""), lambda a, x: F.concat(a, x)).alias("path"), F.col("t.role").alias("role"), F.col("t.text").alias("text"))
-    told = tokens_of(nodes, vocabulary).withColumn("n", (F.size("header") + F.size("body") + F.size("ending")).cast("long"))
-    n = ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # written once: the ranges are then fixed, whatever is recomputed later
-    laid = scratch.write(told.repartitionByRange(n, "path").withColumn("range", F.spark_partition_id()).sortWithinPartitions("path"), "laid")
-    totals = laid.groupBy("range").agg(F.sum("n").alias("n")).orderBy("range").collect()  # one row for each range
-    base, at = {}, 0
-    for r in totals:
-        base[r["range"]] = at
+    lines = scratch.write(tokenized(laid_out(convs, scratch, ranges or int(spark.conf.get("spark.sql.shuffle.partitions"))), vocabulary), "tokens")
+    base, at = [], 0
+    for r in sorted(lines.groupBy("range").agg(F.sum("n").alias("n")).collect()):  # one row for each range
+        base.append((r["range"], at))
         at += r["n"]
-    from pyspark.sql import Window
-
-    before = Window.partitionBy("range").orderBy("path").rowsBetween(Window.unboundedPreceding, -1)
-    first = spark.createDataFrame(sorted(base.items()), "range int, base long")
-    laid = laid.join(F.broadcast(first), "range").withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0)))
-    laid = laid.withColumn("end", F.col("start") + F.col("n"))
-    laid = scratch.write(laid.drop("base"), "placed")
-    # each node's intervals reach its descendants through their lines
-    line = F.transform(F.sequence(F.lit(0), (F.length("path") / DEPTH - 1).cast("int")), lambda i: F.substring("path", i * DEPTH + 1, F.lit(DEPTH)))
-    down = laid.select(F.col("node").alias("leaf"), F.posexplode(line).alias("depth", "node"), F.col("n").alias("own"))
-    spot = laid.select("node", "start", "end")
-    up = salted_join(down, spot, "node", "leaf")
-    attend = up.where("node <> leaf").groupBy("leaf").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("attend"), F.sum(F.col("end") - F.col("start")).alias("position"))
-    reach = up.groupBy("node").agg(F.sum("own").alias("below"))
-    out = laid.join(attend.withColumnRenamed("leaf", "node"), "node", "left").join(reach, "node")
-    out = out.select(
-        "node", F.when(F.length("path") > DEPTH, F.substring("path", F.length("path") - 2 * DEPTH + 1, F.lit(DEPTH))).alias("parent"), (F.length("path") / DEPTH - 1).cast("int").alias("depth"),
-        "start", "end", (F.col("start") + F.col("below")).alias("subtree_end"), F.coalesce("position", F.lit(0)).alias("position"), F.coalesce("attend", F.array().cast("array<struct<start:bigint,end:bigint>>")).alias("attend"),
-        F.concat("header", "body", "ending").alias("ids"), F.size("header").alias("loss_from"), F.when(F.col("loss"), F.size("header") + F.size("body")).otherwise(F.size("header")).alias("loss_to"),
-    )
-    return scratch.write(out, "nodes"), convs.select("conv_id", "nodes")
+    before = Window.partitionBy("range").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    lines = lines.join(F.broadcast(spark.createDataFrame(base, "range int, base long")), "range")
+    lines = scratch.write(lines.withColumn("start", F.col("base") + F.coalesce(F.sum("n").over(before), F.lit(0))).drop("base"), "starts")
+    # places of new nodes, and from them those of the nodes that a line shares with earlier ones
+    sizes = F.transform("ids", lambda t: F.aggregate(t, F.lit(0).cast("long"), lambda a, p: a + F.size(p)))
+    ends = F.aggregate(sizes, F.array(F.col("start")), lambda a, n: F.concat(a, F.array(F.element_at(a, -1) + n)))
+    spots = lines.select("nodes", "old", ends.alias("ends")).select("nodes", "old", "ends", F.posexplode(F.slice("ends", 2, F.size("ends"))).alias("i", "end"))
+    spots = spots.select(F.get("nodes", F.col("old") + F.col("i")).alias("node"), F.get("ends", F.col("i")).alias("start"), "end")
+    shared = lines.where("old > 0").select("leaf", F.posexplode(F.slice("nodes", 1, F.col("old"))).alias("depth", "node"))
+    shared = salted_join(shared, spots, "node", "leaf").groupBy("leaf").agg(F.collect_list(F.struct("depth", "start", "end")).alias("before"))
+    return scratch.write(placed(lines.join(shared, "leaf", "left")), "nodes"), convs.select("conv_id", "nodes")
 
 
 def read_back(nodes: DataFrame, convs: DataFrame, vocabulary: str) -> DataFrame:

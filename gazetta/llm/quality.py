@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
+from .jaccard import bloomed
 from .shared import dense_sum, small_batches
 
 BITS = 18
@@ -108,7 +109,8 @@ def logistic(margin: np.ndarray, y01: np.ndarray) -> tuple[float, float]:
 
 def learn(docs: DataFrame, labels: DataFrame, fit_rows: int, cost: float, epochs: int) -> Model:
     """`docs` has (doc_id, text) and `labels` (doc_id, label), both of the learning rows only."""
-    both = docs.join(labels, "doc_id").select("label", "doc_id", "text")
+    # most texts without a label stay where they are; a merge join at every size, as labels grow with the documents
+    both = bloomed(docs, labels.select("doc_id").where("doc_id is not null")).join(labels.hint("merge"), "doc_id").select("label", "doc_id", "text")
     size = 1 << BITS
 
     def count(batches):
