@@ -43,7 +43,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents in sequences of at most 1024 tokens."""
-    return pack(docs, tokenizer("byte_bpe_50k.json"))
+    return pack(docs, tokenizer("byte_bpe_50k.json"), added=True)
 
 
 STAGES = [("language", language), ("near_copies", near_copies), ("benchmark_leaks", benchmark_leaks), ("secrets", secrets), ("packing", packing)]

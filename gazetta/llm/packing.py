@@ -13,6 +13,7 @@ rows are packed as often as they come; other columns are ignored; an empty table
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from functools import lru_cache
 
@@ -49,6 +50,32 @@ def encoder(path: str):
     return tiktoken.Encoding("byte_bpe", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+#: tiktoken's pattern engine overflows its stack on whitespace runs of several 100,000.
+LONG = re.compile(r"(?<!\s)\s{10000}")
+
+
+@lru_cache(4)
+def encode(path: str, added: bool):
+    """A function from a text to its ids, which are those of `tokenizers`.
+
+    Texts with a long whitespace run go to `tokenizers` itself, and so do texts that hold an added token, which is
+    one id if `added` and ordinary text otherwise.
+    """
+    from tokenizers import Tokenizer
+
+    fast, whole = encoder(path), Tokenizer.from_file(path)
+    whole.encode_special_tokens = not added
+    with open(path, encoding="utf-8") as f:
+        tokens = [t["content"] for t in json.load(f).get("added_tokens", ())]
+
+    def run(text: str) -> list[int]:
+        if any(t in text for t in tokens) or (len(text) >= 10_000 and LONG.search(text)):
+            return whole.encode(text, add_special_tokens=False).ids
+        return fast.encode_ordinary(text)
+
+    return run
+
+
 class Bins:
     """Open bins by free space: `mask` has bit f set while a bin with f free places is open."""
 
@@ -94,18 +121,21 @@ def cut(length: int, size: int) -> list[int]:
     return [length] if length <= size else [(length - 1) % size + 1, *[size] * ((length - 1) // size)]
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, open_bins: int = 1024, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece."""
+def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, open_bins: int = 1024, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+    """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece.
+
+    With `added`, an added token in a text is its one id, as by default in `tokenizers`; else it is ordinary text.
+    """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def run(batches):
-        code = encoder(vocabulary)
+        code = encode(vocabulary, added)
         bins = Bins(size, open_bins, TaskContext.get().partitionId() << 40)
         for batch in batches:
             for lo, hi in K.chunks(batch.column(1), 1 << 22):
                 out: dict[str, list] = {c: [] for c in columns}
                 for doc, text in zip(batch.column(0)[lo:hi].to_pylist(), batch.column(1)[lo:hi].to_pylist(), strict=True):
-                    ids = np.array(code.encode_ordinary(text or "") + [end_id], dtype="<u4")
+                    ids = np.array(code(text or "") + [end_id], dtype="<u4")
                     start = 0
                     for k, n in enumerate(cut(len(ids), size)):
                         where, offset = bins.put(n)

@@ -57,7 +57,7 @@ def op8_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"))
+    return pack(table(spark, sf_dir, "documents"), tokenizer("byte_bpe_50k.json"), added=True)
 
 
 def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

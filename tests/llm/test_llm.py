@@ -231,6 +231,20 @@ def test_packing(docs, corpus):
     assert len(bins) <= 1.1 * sum(len(want[i]) for i, _ in corpus) / 64 + 8
 
 
+def test_packing_default_tokenizer(spark):
+    from tokenizers import Tokenizer
+
+    code = Tokenizer.from_file(VOCABULARY)
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "<|endoftext|" + ">" * 3 + "<|endoftext|>x", "x" + " " * 9_999 + "y", " " * 10_000, "a" + " \n" * 500_000 + "b", "\n" * 1_000_000, "", None]
+    got = pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), VOCABULARY, added=True).collect()
+    want = {k: code.encode(t or "", add_special_tokens=False).ids + [2] for k, t in enumerate(texts)}
+    assert 50256 in want[0]
+    for r in got:
+        ids = want[r["doc_id"]][r["start"] : r["start"] + r["length"]]
+        assert len(ids) == r["length"] and zlib.crc32(np.array(ids, "<u4").tobytes()) == r["ids_crc32"]
+    assert sum(r["length"] for r in got) == sum(map(len, want.values()))
+
+
 def test_chat(spark):
     rows = [(1, 0, "system", "a"), (1, 1, "user", "[INST] <b> \\l\\ é"), (1, 2, "assistant", "yes"), (2, 0, "system", "a"), (2, 1, "user", "other"), (3, 0, "system", "a"), (3, 1, "user", "[INST] <b> \\l\\ é"), (3, 2, "assistant", "yes"), (4, 0, None, None), (None, 0, "user", "x"), (5, 1, "user", "same"), (5, 1, "user", "same"), (6, 0, "a\nb", "\n"), *((7, k, "user", "t") for k in range(400))]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "conv_id long, turn long, role string, text string, node string")
