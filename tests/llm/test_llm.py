@@ -165,6 +165,14 @@ def test_language_model(docs, corpus):
     assert long["score"] > -5 * long["n_tokens"]
 
 
+def test_language_model_keeps_every_count(docs):
+    """Scores do not depend on how many words travel as a broadcast."""
+    rows = [sorted(((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["base_score"], r["score"], r["bits_per_byte"]) for r in score(docs, head=head).collect())) for head in (1 << 18, 7, 0)]
+    for few in rows[1:]:
+        for a, b in zip(rows[0], few, strict=True):
+            assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-4)
+
+
 SECRETS = ["password = 'abcdefgh1'", "TOKEN:short secret=token: abcdefgh", "x AKIA" + "A" * 12 + " AKIAB", "é" * 3 + "0123456789abcdef" * 2, "api_key=\"" + "k" * 9 + "\"", "ghp_" + "a" * 36, "", None]
 
 
