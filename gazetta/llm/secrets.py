@@ -45,13 +45,19 @@ def _either(word: str) -> str:
 
 
 _NAMES = "|".join(map(_either, ("password", "passwd", "secret", "token", "api_?key")))
+#: A key from its BEGIN line and headers over the body to the END line; without one to the last body line, which may be short.
+#: Line ends may be escaped. Only plain classes are repeated without bound, so long bodies need no deep stack.
+_PEM = (
+    r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[\r\n]+[A-Za-z-]+:[^\r\n]*){0,9}"
+    r"(?:[A-Za-z0-9+/=\x20\t\r\n\\]*-----END [A-Z ]*PRIVATE KEY-----|[A-Za-z0-9+/=\r\n\\]*[A-Za-z0-9+/=]{16,}(?:\r?\n[A-Za-z0-9+/=]+(?:[\r\n]|\z))?)?"
+)
 #: The three asked-for kinds first, then three more of the same sort.
 RULES = (
     Rule("assign", rf"""({_NAMES})["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", f"{_NAMES}", group=2, least=8, base=True),
     Rule("access", r"AKIA[A-Z0-9]{12,}", "AKIA[A-Z0-9]{12}", base=True),
     Rule("hex", r"[0-9a-f]{32,}", "[0-9a-f]{32}", base=True),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}", "gh[pousr]_[A-Za-z0-9]{36}"),
-    Rule("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----", "PRIVATE KEY-----"),
+    Rule("pem", _PEM, "PRIVATE KEY-----", version=2),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ[A-Za-z0-9_-]{8}"),
 )
 SPAN = "array<struct<start:int,ord:int,kind:string,end:int>>"
