@@ -6,6 +6,8 @@ lengths share one pass. Items are indexed by four 16-bit blocks of their fingerp
 within a quarter of the radius of each, so every fingerprint within the radius meets in some block (pigeonhole).
 Candidates within the radius are verified exactly: at every offset near the window, an item-sized window is compared
 with the item by weighted shingle similarity, the sum of smaller over the sum of larger shingle counts.
+Fingerprints can miss a passage near the bound. So places are candidates too where a document holds one of an item's
+rarest shingles, of which so many are taken that every passage within the bound holds one; no passage is missed.
 
 The index holds at most `items_per_pass` items; a larger benchmark takes several passes.
 
@@ -54,7 +56,7 @@ def bits_of(sh: np.ndarray) -> np.ndarray:
 class Index:
     """Items by window class (stride, blocks), each with its Hamming tables."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], radius: int):
+    def __init__(self, items: list[tuple[int, np.ndarray]], radius: int, num: int, den: int):
         self.radius, self.items, self.alone, self.classes = radius, [], {}, {}
         groups: dict[tuple[int, int], list[int]] = {}
         for item_id, sh, whole in items:
@@ -65,6 +67,12 @@ class Index:
             groups.setdefault((stride, max(1, round(len(sh) / stride))), []).append(len(self.items))
             self.items.append((item_id, len(sh), Counter(sh.tolist())))
             self.items[-1] += (int(signs(bits_of(sh).sum(axis=0, dtype=np.uint16)[None], np.array([len(sh)]))[0]),)
+        # a passage within the bound shares num / den of an item's shingles at least, so it holds one of any n - that + 1
+        often = Counter(v for x in self.items for v in x[2])
+        sure = sorted({(v, i) for i, (_, n, counts, _) in enumerate(self.items) for v in sorted(counts.elements(), key=lambda v: (often[v], v))[: n + (-num * n // den) + 1]})
+        self.keys, self.who = np.array([v for v, _ in sure], np.uint64), np.array([i for _, i in sure], np.int64)
+        self.maybe = np.zeros(1 << 20, dtype=bool)
+        self.maybe[self.keys & np.uint64((1 << 20) - 1)] = True
         flips = near(radius // BLOCKS)
         self.longest = max([s * b for s, b in groups], default=0)
         for key, members in groups.items():
@@ -78,6 +86,16 @@ class Index:
                 tables.append((start, np.repeat(np.arange(len(members), dtype=np.int32), len(flips))[order]))
             self.classes[key] = (np.array(members), prints, tables)
 
+    def sharing(self, flat: np.ndarray, real: np.ndarray):
+        """(item, place) where an item's rare shingle stands, in order."""
+        some = np.flatnonzero(self.maybe[flat & np.uint64((1 << 20) - 1)] & (real > 0))
+        lo = np.searchsorted(self.keys, flat[some])
+        n = np.searchsorted(self.keys, flat[some], side="right") - lo
+        at = np.repeat(some, n)
+        item = self.who[np.arange(len(at)) - np.repeat(np.cumsum(n) - n - lo, n)]
+        order = np.lexsort((at, item))
+        return item[order], at[order]
+
     def candidates(self, key, prints: np.ndarray):
         """(window, item) with fingerprints within the radius."""
         members, own, tables = self.classes[key]
@@ -142,16 +160,24 @@ def hits(text: pa.Array, index: Index, num: int, den: int):
                 w, item = index.candidates((s, blocks), prints[use])
                 for start, i in zip((use[w] * s).tolist(), item.tolist(), strict=True):
                     r = int(np.searchsorted(places, start, side="right")) - 1
-                    verify(best, r, rows[r], start - int(places[r]), index.items[i], num, den)
+                    slack, start = 2 * s + 2, start - int(places[r])
+                    verify(best, r, rows[r], start - slack, start + slack, index.items[i], num, den)
+        item, place = index.sharing(flat, real)
+        before = (-1, -1, -1)
+        for i, r, p in zip(item.tolist(), (np.searchsorted(places, place, side="right") - 1).tolist(), place.tolist(), strict=True):
+            p -= int(places[r])
+            seen = before[2] + 1 if before[:2] == (i, r) else 0
+            verify(best, r, rows[r], max(seen, p - index.items[i][1] + 1), p, index.items[i], num, den)
+            before = (i, r, p)
         for (r, item), (sim, start, n) in best.items():
             yield lo + r, item, sim, start, n
 
 
-def verify(best, row: int, x: np.ndarray, start: int, item, num: int, den: int) -> None:
+def verify(best, row: int, x: np.ndarray, first: int, last: int, item, num: int, den: int) -> None:
+    """Compare the item with all windows that start from `first` to `last`."""
     item_id, n, counts, _ = item
-    slack = 2 * stride_of(n) + 2
-    lo = max(0, min(start - slack, len(x) - n))
-    hi = min(len(x), start + slack + n)
+    lo = max(0, min(first, len(x) - n))
+    hi = min(len(x), last + n)
     part = x[lo:hi].tolist()
     inside = [k for k, v in enumerate(part) if v in counts]
     if len(inside) * den < num * n:  # fewer shared shingles than any window needs
@@ -182,7 +208,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, num: int = 3, den: int =
             h, at, _, _ = K.words(*K.utf8(pa.array([r["text"]])))
             if len(h):
                 items.append((r["item_id"], next(K.shingle_rows(h, at)), len(h) < K.WORDS))
-        shared = spark.sparkContext.broadcast(Index(items, radius))
+        shared = spark.sparkContext.broadcast(Index(items, radius, num, den))
 
         def run(batches, shared=shared):
             index = shared.value

@@ -339,6 +339,25 @@ def test_decontamination(spark):
     assert contaminated(df, spark.createDataFrame([], "item_id long, text string")).collect() == []
 
 
+def test_decontamination_of_edited_passages(spark):
+    rng = random.Random(8)
+    items, docs, want = [], [], set()
+    for k in range(240):
+        n, edits = ((39, 1), (80, 2), (150, 4))[k % 3]
+        w = [f"{rng.randrange(10**6)}" for _ in range(n)]
+        items.append((k, " ".join(w)))
+        edited = list(w)
+        for e in rng.sample(range(5, n - 5), edits):
+            edited[e] = "changed"
+        noise = [[f"{rng.randrange(10**6)}" for _ in range(rng.randint(3, 40))] for _ in range(2)]
+        docs.append((k, " ".join(noise[0] + edited + noise[1])))
+        a, b = ({tuple(x[j : j + 5]) for j in range(n - 4)} for x in (w, edited))
+        if 4 * len(a & b) >= 3 * len(a | b):
+            want.add((k, k))
+    found = contaminated(*(spark.createDataFrame(x, f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id")))).collect()
+    assert len(want) > 200 and {(r["doc_id"], r["item_id"]) for r in found} == want
+
+
 def test_urls(spark):
     rows = [(1, "https://A.example.ORG/es/1"), (2, "http://example.org/en/12?x#y"), (3, "https://x.org/a"), (4, "http://notorg/de/"), (5, "http://b.com/de/1"), (6, "http://b.com?x"), (7, None), (8, "no scheme"), (9, "https://bad.net/"), (9, "https://bad.net/")] + [(100 + k, f"https://bad.net/{k}") for k in range(60)] + [(200 + k, f"https://good{k % 7}.net/{k}") for k in range(140)]
     good = spark.createDataFrame([(i, int(i >= 200)) for i, _ in rows if i >= 100], "page_id long, good int")
