@@ -32,20 +32,33 @@ class Scratch:
         reader = self.spark.read if like is None else self.spark.read.schema(like.schema)
         return reader.parquet(f"{self.root}/{name}")
 
+    def _path(self, name: str = ""):
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}".rstrip("/"))
+        return path, path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
     def drop(self, *names: str) -> None:
         """Remove tables that nothing reads any more, so that disk stays bounded."""
-        jvm = self.spark._jvm
         for name in names:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/{name}")
-            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+            path, files = self._path(name)
+            files.delete(path, True)
+
+    def keep(self, *names: str) -> None:
+        """Remove all tables but those that the result still reads."""
+        path, files = self._path()
+        for own in files.listStatus(path):
+            if own.getPath().getName() not in names:
+                files.delete(own.getPath(), True)
 
 
 def small_batches(spark: SparkSession, rows: int = 500) -> None:
-    """Whole texts travel to Python in batches of so many rows at most, which bounds a worker's memory."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    now = int(spark.conf.get(key))
-    if not 0 < now <= rows:
-        spark.conf.set(key, str(rows))
+    """Whole texts travel to Python in batches of so many rows and bytes at most, which bounds a worker's memory.
+
+    Smaller limits of the session stay; the setting is read when a plan runs, so it holds from here on.
+    """
+    for key, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", 1 << 25)):
+        now = int(spark.conf.get(f"spark.sql.execution.arrow.{key}").rstrip("bB"))
+        if not 0 < now <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def salted_join(many: DataFrame, one: DataFrame, key: str, salt: str, spread: int = 16, hot: int = 2000) -> DataFrame:
@@ -67,26 +80,26 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     the edges by them, so a path of n ids needs a number of rounds in the order of log n; every step is a join
     or a partial aggregate, and nothing is gathered on the driver.
     """
-    spark = edges.sparkSession
     both = edges.where("a <> b").select("a", "b")
-    labels = scratch.write(both.select(F.col("a").alias("id")).union(both.select("b")).distinct().withColumn("root", F.col("id")), f"{name}-label-0")
     live = scratch.write(both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"{name}-live-0")
-    step = 0
-    while not live.isEmpty():
+    labels, step = None, 0
+    while labels is None or not live.isEmpty():
         step += 1
         around = live.union(live.select("b", "a"))
         up = around.groupBy("a").agg(F.min("b").alias("b")).select(F.col("a").alias("id"), F.least("a", "b").alias("up"))
-        up = scratch.write(up, f"{name}-up-{step}-0")
-        hop = 0
-        while True:
-            next_ = up.join(up.select(F.col("id").alias("up"), F.col("up").alias("top")), "up", "left").select("id", F.coalesce("top", "up").alias("up"), (F.col("top") < F.col("up")).alias("moved"))
-            next_ = scratch.write(next_, f"{name}-up-{step}-{hop + 1}")
+        up, hop = scratch.write(up, f"{name}-up-{step}-0"), 0
+        while True:  # two jumps a time
+            jump = lambda x, by: x.join(by.select(F.col("id").alias("up"), F.col("up").alias("top")), "up", "left").select("id", F.coalesce("top", "up").alias("up"), *([F.col("was")] if "was" in x.columns else []))
+            next_ = jump(jump(up.withColumn("was", F.col("up")), up), up)
+            next_ = scratch.write(next_.select("id", "up", (F.col("up") < F.col("was")).alias("moved")), f"{name}-up-{step}-{hop + 1}")
             scratch.drop(f"{name}-up-{step}-{hop}")
             up, hop = next_.select("id", "up"), hop + 1
             if next_.where("moved").isEmpty():
                 break
-        root = up.select(F.col("id").alias("root"), "up")
-        new = scratch.write(labels.join(root, "root", "left").select("id", F.coalesce("up", "root").alias("root")), f"{name}-label-{step}")
+        if labels is None:  # every id of an edge has a label now
+            new = scratch.write(up.select("id", F.col("up").alias("root")), f"{name}-label-{step}")
+        else:
+            new = scratch.write(labels.join(up.select(F.col("id").alias("root"), "up"), "root", "left").select("id", F.coalesce("up", "root").alias("root")), f"{name}-label-{step}")
         a, b = up.select(F.col("id").alias("a"), F.col("up").alias("x")), up.select(F.col("id").alias("b"), F.col("up").alias("y"))
         left = live.join(a, "a").join(b, "b").where("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
         left = scratch.write(left, f"{name}-live-{step}")

@@ -365,3 +365,44 @@ def test_urls(spark):
     assert [(got[k]["host"], got[k]["path"], got[k]["rule"]) for k in range(1, 9)] == [("a.example.org", "/es/1", "example.org/es/"), ("example.org", "/en/12", "example.org/en/1"), ("x.org", "/a", "org/"), ("notorg", "/de/", None), ("b.com", "/de/1", "com/de/"), ("b.com", "", None), ("", "", None), ("", "", None)]
     assert got[9]["verdict"] == "block" and got[205]["verdict"] == "allow" and got[1]["verdict"] == "block" and got[3]["verdict"] == "allow"
     assert judge(spark.createDataFrame([], "page_id long, url string"), good).collect() == []
+
+
+def linked(texts):
+    """Smallest position reachable from each text, by brute force."""
+    sets = [{tuple(w[k : k + 5]) for k in range(len(w) - 4)} for w in map(words, texts)]
+    root = list(range(len(texts)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for a, b in itertools.combinations(range(len(texts)), 2):
+        x, y = find(a), find(b)
+        if x != y and 4 * len(sets[a] & sets[b]) >= 3 * len(sets[a] | sets[b]):
+            root[max(x, y)] = min(x, y)
+    return [find(k) for k in range(len(texts))]
+
+
+def test_chains_and_a_large_family(spark):
+    """Links reach over chains whose ends differ, through a large family, and through a text without an id."""
+    rng = random.Random(11)
+    texts = []
+    base = prose(rng, 100).split()
+    for _ in range(2000):  # a family, edited at random places: many pairs of it do not link
+        w = list(base)
+        for _ in range(rng.choice([1, 2, 3])):
+            w[rng.randrange(100)] = f"y{rng.randrange(10**6)}"
+        texts.append(" ".join(w))
+    chain = prose(rng, 120).split()
+    for k in range(12):  # each links with the next, the first not with the last
+        texts.append(" ".join(chain))
+        chain[8 * k + 3] = f"z{k}"
+    short = "a1 b2 c3 d4 e5 f6 g7 h8 i9".split()  # light sets
+    texts += [" ".join(short), " ".join([*short, "j10"]), " ".join([*short, "j10", "k11"]), " ".join([*short, "j10", "k11", "l12"])]
+    want = linked(texts)
+    assert len(set(want[2000:2012])) == 1
+    rows = [(None if k in (2001, 2006) else k, t) for k, t in enumerate(texts)]
+    got = {r["doc_id"]: r["component_id"] for r in jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
+    assert got.pop(None) is None
+    assert got == {k: want[k] for k in range(len(texts)) if k not in (2001, 2006)}
