@@ -1,26 +1,25 @@
 """Benchmark decontamination by SimHash windows, multi-index Hamming blocks and exact verification.
 
-Every document is covered by windows as long as a benchmark item (to half a stride), and each window has a 64-bit
-SimHash of its word shingles. Window sums come from running totals of blocks of `stride` shingles, so all window
-lengths share one pass. Items are indexed by four 16-bit blocks of their fingerprints together with all values
-within a quarter of the radius of each, so every fingerprint within the radius meets in some block (pigeonhole).
-Candidates within the radius are verified exactly: at every offset near the window, an item-sized window is compared
-with the item by weighted shingle similarity, the sum of smaller over the sum of larger shingle counts.
-Fingerprints can miss a passage near the bound. So places are candidates too where a document holds one of an item's
-rarest shingles, of which so many are taken that every passage within the bound holds one; no passage is missed.
+Windows as long as an item, in word shingles, stand at every place of a document. A window that reaches the bound
+holds so many shingles of items that a table of all items' shingles rules nearly all windows out; each one that is left gets
+a 64-bit SimHash of its shingles. Items are indexed by eight 8-bit blocks of their fingerprints together with all values
+within an eighth of the radius, so every fingerprint within the radius meets in some block (pigeonhole).
+Candidates within the radius are verified exactly: the window is compared with the item by weighted shingle
+similarity, the sum of smaller over the sum of larger shingle counts.
 
-The index holds at most `items_per_pass` items; a larger benchmark takes several passes.
+The radius of 23 bits is far beyond what windows within the bound differ by (11 bits in the mean), so it costs next to none of them.
+The index holds at most `items_per_pass` items, some tens of megabytes; a larger benchmark takes several passes.
 
 Defined cases: null, empty or wordless items and documents match nothing; texts with fewer words than the shingle
-size have their whole sequence as one shingle, so such an item matches only a document that consists of it; for
-each document and item the most similar place is kept, of equal ones the first; repeated rows give repeated hits
-in the documents and one hit for each item id; other columns are ignored; empty tables give an empty result.
+size have their whole sequence as one shingle, so such an item matches only a document that consists of it; a
+document shorter than an item is one window; for each document and item the most similar place is kept, of equal ones
+the first; repeated rows give repeated hits in the documents and one hit for each item id; other columns are
+ignored; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -30,171 +29,163 @@ from pyspark.sql import functions as F
 from . import kernel as K
 from .shared import small_batches
 
-BLOCKS, WIDTH = 4, 16
-
-
-def stride_of(n: int) -> int:
-    """Shingles between windows for an item of n."""
-    return 1 if n <= 8 else 2 if n < 24 else 4
+BLOCKS, WIDTH = 8, 8
+BITS = 22  # of the table that rules shingles out: 4 MB
+SPAN = 1 << 12  # windows whose sums of bits are held at a time
 
 
 def near(radius: int) -> np.ndarray:
-    """All 16-bit values with at most `radius` bits."""
-    x = np.arange(1 << WIDTH, dtype=np.uint32)
+    """All values of a block with at most `radius` bits."""
+    x = np.arange(1 << WIDTH, dtype=np.uint8)
     return x[np.bitwise_count(x) <= radius]
 
 
-def signs(ones: np.ndarray, real: np.ndarray) -> np.ndarray:
-    """Fingerprints from counts of set bits among `real` shingles."""
-    return np.packbits(2 * ones > real[:, None], axis=1).view(np.uint64)[:, 0]
+def fingerprints(x: np.ndarray, start: np.ndarray, size: int) -> np.ndarray:
+    """SimHashes of the windows of `size` shingles at increasing places."""
+    out = np.empty(len(start), np.uint64)
+    lo = 0
+    while lo < len(start):
+        hi = int(np.searchsorted(start, start[lo] + SPAN))
+        first, past = int(start[lo]), int(start[hi - 1])
+        # sums of the first window, then what each step to the right adds and takes away
+        ones = np.zeros((past - first + 1, 64), np.int32)
+        for a in range(first, first + size, SPAN):
+            ones[0] += unpacked(x[a : min(a + SPAN, first + size)]).sum(axis=0, dtype=np.int32)
+        if past > first:
+            ones[1:] = unpacked(x[first + size : past + size])
+            ones[1:] -= unpacked(x[first:past])
+            np.cumsum(ones, axis=0, out=ones)
+        out[lo:hi] = np.packbits(2 * ones[start[lo:hi] - first].astype(np.int64) > size, axis=1).view(np.uint64)[:, 0]
+        lo = hi
+    return out
+
+
+def unpacked(x: np.ndarray) -> np.ndarray:
+    return np.unpackbits(x.view(np.uint8).reshape(-1, 8), axis=1)
+
 
+class Item:
+    def __init__(self, item_id: int, x: np.ndarray):
+        self.id, self.n = item_id, len(x)
+        self.kinds, self.counts = np.unique(x, return_counts=True)
+        self.print = fingerprints(x, np.zeros(1, np.int64), len(x))[0]
 
-def bits_of(sh: np.ndarray) -> np.ndarray:
-    return np.unpackbits(sh.view(np.uint8).reshape(-1, 8), axis=1)
+    def shared(self, window: np.ndarray) -> int:
+        """The sum of smaller counts."""
+        kinds, counts = np.unique(window, return_counts=True)
+        at = np.minimum(np.searchsorted(self.kinds, kinds), len(self.kinds) - 1)
+        return int(np.minimum(self.counts[at], counts)[self.kinds[at] == kinds].sum())
 
 
 class Index:
-    """Items by window class (stride, blocks), each with its Hamming tables."""
+    """Items by length, each length with its Hamming tables, and all their shingles."""
 
-    def __init__(self, items: list[tuple[int, np.ndarray]], radius: int, num: int, den: int):
-        self.radius, self.items, self.alone, self.classes = radius, [], {}, {}
-        groups: dict[tuple[int, int], list[int]] = {}
-        for item_id, sh, whole in items:
+    def __init__(self, items: list[tuple[int, np.ndarray, bool]], radius: int, num: int, den: int):
+        self.radius, self.num, self.den, self.alone, lengths = radius, num, den, {}, {}
+        for item_id, x, whole in items:
             if whole:
-                self.alone.setdefault(int(sh[0]), []).append(item_id)
-                continue
-            stride = stride_of(len(sh))
-            groups.setdefault((stride, max(1, round(len(sh) / stride))), []).append(len(self.items))
-            self.items.append((item_id, len(sh), Counter(sh.tolist())))
-            self.items[-1] += (int(signs(bits_of(sh).sum(axis=0, dtype=np.uint16)[None], np.array([len(sh)]))[0]),)
-        # a passage within the bound shares num / den of an item's shingles at least, so it holds one of any n - that + 1
-        often = Counter(v for x in self.items for v in x[2])
-        sure = sorted({(v, i) for i, (_, n, counts, _) in enumerate(self.items) for v in sorted(counts.elements(), key=lambda v: (often[v], v))[: n + (-num * n // den) + 1]})
-        self.keys, self.who = np.array([v for v, _ in sure], np.uint64), np.array([i for _, i in sure], np.int64)
-        self.maybe = np.zeros(1 << 20, dtype=bool)
-        self.maybe[self.keys & np.uint64((1 << 20) - 1)] = True
+                self.alone.setdefault(int(x[0]), []).append(item_id)
+            else:
+                lengths.setdefault(len(x), []).append(Item(item_id, x))
+        items_ = [i for own in lengths.values() for i in own]
+        self.sizes = np.array([i.n for i in items_], np.int64)
+        every = np.concatenate([np.zeros(0, np.uint64), *(i.kinds for i in items_)])
+        order = np.argsort(every, kind="stable")
+        self.who = np.repeat(np.arange(len(items_)), [len(i.kinds) for i in items_])[order]
+        self.often = np.concatenate([np.zeros(0, np.int64), *(i.counts for i in items_)])[order]
+        self.shingles, self.at = np.unique(every[order], return_index=True)
+        self.at = np.append(self.at, len(every))
+        self.maybe = np.zeros(1 << BITS, dtype=bool)
+        self.maybe[self.shingles & np.uint64((1 << BITS) - 1)] = True
+        self.least = min((self.need(n, -(-num * n // den)) for n in lengths), default=0)
         flips = near(radius // BLOCKS)
-        self.longest = max([s * b for s, b in groups], default=0)
-        for key, members in groups.items():
-            prints = np.array([self.items[i][3] for i in members], dtype=np.uint64)
+        self.lengths = {}
+        for n, own in sorted(lengths.items()):
+            prints = np.array([i.print for i in own])
             tables = []
-            for b in range(BLOCKS):
-                own = (prints >> np.uint64(WIDTH * b)).astype(np.uint32) & np.uint32((1 << WIDTH) - 1)
-                keys = (own[:, None] ^ flips[None]).ravel()
+            for block in prints.view(np.uint8).reshape(-1, BLOCKS).T:
+                keys = (block[:, None] ^ flips[None]).ravel()
                 order = np.argsort(keys, kind="stable")
-                start = np.searchsorted(keys[order], np.arange((1 << WIDTH) + 1)).astype(np.int32)
-                tables.append((start, np.repeat(np.arange(len(members), dtype=np.int32), len(flips))[order]))
-            self.classes[key] = (np.array(members), prints, tables)
-
-    def sharing(self, flat: np.ndarray, real: np.ndarray):
-        """(item, place) where an item's rare shingle stands, in order."""
-        some = np.flatnonzero(self.maybe[flat & np.uint64((1 << 20) - 1)] & (real > 0))
-        lo = np.searchsorted(self.keys, flat[some])
-        n = np.searchsorted(self.keys, flat[some], side="right") - lo
-        at = np.repeat(some, n)
-        item = self.who[np.arange(len(at)) - np.repeat(np.cumsum(n) - n - lo, n)]
-        order = np.lexsort((at, item))
-        return item[order], at[order]
-
-    def candidates(self, key, prints: np.ndarray):
+                tables.append((np.searchsorted(keys[order], np.arange((1 << WIDTH) + 1)), order // len(flips)))
+            self.lengths[n] = (own, prints, tables)
+
+    def need(self, n: int, size: int) -> int:
+        """Shingles that an item of `n` and a window of `size` share at least."""
+        return -(-self.num * (n + size) // (self.num + self.den))
+
+    def held(self, x: np.ndarray) -> np.ndarray:
+        """Which shingles are an item's."""
+        out = self.maybe[x & np.uint64((1 << BITS) - 1)]
+        some = np.flatnonzero(out)
+        if len(some):
+            out[some] = self.shingles[np.minimum(np.searchsorted(self.shingles, x[some]), len(self.shingles) - 1)] == x[some]
+        return out
+
+    def within(self, x: np.ndarray) -> set[int]:
+        """Lengths of the items that share enough with these shingles as a whole."""
+        kinds, counts = np.unique(x, return_counts=True)
+        at = np.searchsorted(self.shingles, kinds)
+        many = self.at[at + 1] - self.at[at]
+        place = np.arange(many.sum()) + np.repeat(self.at[at] - (np.cumsum(many) - many), many)
+        same = np.bincount(self.who[place], weights=np.minimum(self.often[place], np.repeat(counts, many)), minlength=len(self.sizes))
+        return set(self.sizes[same * self.den >= self.num * self.sizes].tolist())
+
+    def candidates(self, n: int, prints: np.ndarray):
         """(window, item) with fingerprints within the radius."""
-        members, own, tables = self.classes[key]
+        own, theirs, tables = self.lengths[n]
         found = []
-        for b, (start, who) in enumerate(tables):
-            k = (prints >> np.uint64(WIDTH * b)).astype(np.uint32) & np.uint32((1 << WIDTH) - 1)
-            lo = start[k]
-            n = start[k + 1] - lo
-            some = np.flatnonzero(n)
-            if not len(some):
-                continue
-            lo, n = lo[some], n[some]
-            w = np.repeat(some, n)
-            first = np.cumsum(n) - n
-            m = who[np.arange(len(w)) - np.repeat(first - lo, n)]
-            ok = np.bitwise_count(prints[w] ^ own[m]) <= self.radius
-            found.append(w[ok] * len(members) + m[ok])
-        if not found:
-            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        for (start, who), block in zip(tables, prints.view(np.uint8).reshape(-1, BLOCKS).T, strict=True):
+            lo, many = start[block], start[block.astype(int) + 1] - start[block]
+            window = np.repeat(np.arange(len(prints)), many)
+            item = who[np.arange(len(window)) + np.repeat(lo - (np.cumsum(many) - many), many)]
+            ok = np.bitwise_count(prints[window] ^ theirs[item]) <= self.radius
+            found.append(window[ok] * len(own) + item[ok])
         pairs = np.unique(np.concatenate(found))
-        return pairs // len(members), members[pairs % len(members)]
+        return zip((pairs // len(own)).tolist(), (own[i] for i in (pairs % len(own)).tolist()), strict=True)
+
+    def row(self, x: np.ndarray, held: np.ndarray):
+        """(item id, similarity, first shingle, shingles) of the best place of each item in one document."""
+        total = np.concatenate([[0], np.cumsum(held)])
+        best: dict[int, tuple] = {}
+        for n in sorted(self.within(x[held])):
+            size = min(n, len(x))
+            start = np.flatnonzero(total[size:] - total[: len(total) - size] >= self.need(n, size))
+            if not len(start):
+                continue
+            for w, item in self.candidates(n, fingerprints(x, start, size)):
+                at = int(start[w])
+                same = item.shared(x[at : at + size])
+                either = n + size - same
+                if self.den * same >= self.num * either and (same / either, -at) > best.get(item.id, (0.0, 0))[:2]:
+                    best[item.id] = (same / either, -at, size)
+        return [(item, sim, -at, size) for item, (sim, at, size) in best.items()]
 
 
-def hits(text: pa.Array, index: Index, num: int, den: int):
+def hits(text: pa.Array, index: Index):
     """(row, item id, similarity, first word, words) of every verified place, the best one for each row and item."""
-    gap = index.longest + 4
     for lo, hi in K.chunks(text):
         h, at, _, _ = K.words(*K.utf8(text.slice(lo, hi - lo)))
-        if not len(h):
-            continue
-        rows = list(K.shingle_rows(h, at))
-        # rows are laid out with zeros between them, which count in no window
-        sizes = np.array([len(x) for x in rows])
-        places = np.zeros(len(rows) + 1, dtype=np.int64)
-        np.cumsum((sizes + gap + 3) // 4 * 4, out=places[1:])
-        flat, real = np.zeros(places[-1] + gap, dtype=np.uint64), np.zeros(places[-1] + gap, dtype=np.uint8)
-        flat, real = flat[: len(flat) // 4 * 4], real[: len(real) // 4 * 4]
-        for x, p in zip(rows, places.tolist(), strict=False):
-            flat[p : p + len(x)], real[p : p + len(x)] = x, 1
-        best: dict[tuple[int, int], tuple] = {}
+        size = np.diff(at)
         if index.alone:
-            for r, x in enumerate(rows):
-                if len(x) == 1 and at[r + 1] - at[r] < K.WORDS:
-                    for item in index.alone.get(int(x[0]), ()):
-                        best[(r, item)] = (1.0, 0, int(at[r + 1] - at[r]))
-        bits = bits_of(flat) if index.classes else None
-        for stride in sorted({s for s, _ in index.classes}):
-            ones, count = bits[::stride].copy(), real[::stride].copy()
-            for k in range(1, stride):
-                ones += bits[k::stride]
-                count += real[k::stride]
-            total = np.zeros((len(ones) + 1, 64), dtype=np.uint16)  # wraps; differences do not
-            np.cumsum(ones, axis=0, dtype=np.uint16, out=total[1:])
-            reals = np.concatenate([[0], np.cumsum(count, dtype=np.int64)])
-            for (s, blocks), (members, _, _) in index.classes.items():
-                if s != stride or len(total) <= blocks:
-                    continue
-                n = reals[blocks:] - reals[:-blocks]
-                least = min(index.items[i][1] for i in members) * num / den
-                use = np.flatnonzero(n >= max(1, int(least) - s))
-                prints = signs(total[blocks:] - total[:-blocks], n.astype(np.uint16))
-                w, item = index.candidates((s, blocks), prints[use])
-                for start, i in zip((use[w] * s).tolist(), item.tolist(), strict=True):
-                    r = int(np.searchsorted(places, start, side="right")) - 1
-                    slack, start = 2 * s + 2, start - int(places[r])
-                    verify(best, r, rows[r], start - slack, start + slack, index.items[i], num, den)
-        item, place = index.sharing(flat, real)
-        before = (-1, -1, -1)
-        for i, r, p in zip(item.tolist(), (np.searchsorted(places, place, side="right") - 1).tolist(), place.tolist(), strict=True):
-            p -= int(places[r])
-            seen = before[2] + 1 if before[:2] == (i, r) else 0
-            verify(best, r, rows[r], max(seen, p - index.items[i][1] + 1), p, index.items[i], num, den)
-            before = (i, r, p)
-        for (r, item), (sim, start, n) in best.items():
-            yield lo + r, item, sim, start, n
-
-
-def verify(best, row: int, x: np.ndarray, first: int, last: int, item, num: int, den: int) -> None:
-    """Compare the item with all windows that start from `first` to `last`."""
-    item_id, n, counts, _ = item
-    lo = max(0, min(first, len(x) - n))
-    hi = min(len(x), last + n)
-    part = x[lo:hi].tolist()
-    inside = [k for k, v in enumerate(part) if v in counts]
-    if len(inside) * den < num * n:  # fewer shared shingles than any window needs
-        return
-    size = min(n, len(part))
-    for first in range(len(part) - size + 1):
-        window = Counter(part[first : first + size])
-        same = sum(min(c, counts[v]) for v, c in window.items() if v in counts)
-        either = n + size - same
-        if den * same >= num * either:
-            found = (same / either, -(lo + first))
-            old = best.get((row, item_id))
-            if old is None or found > (old[0], -old[1]):
-                best[(row, item_id)] = (same / either, lo + first, size + K.WORDS - 1)
-
-
-def contaminated(docs: DataFrame, benchmark: DataFrame, num: int = 3, den: int = 4, radius: int = 15, items_per_pass: int = 2000) -> DataFrame:
+            for r in np.flatnonzero((size > 0) & (size < K.WORDS)).tolist():
+                for item in index.alone.get(int(K.shingle(h[at[r] : at[r + 1]], int(size[r]))[0]), ()):
+                    yield lo + r, item, 1.0, 0, int(size[r])
+        x = K.shingle(h, K.WORDS)
+        if not index.lengths or not len(x):
+            continue
+        held = index.held(x)
+        for k in range(1, K.WORDS):  # shingles over the border of two rows are none
+            over = at[1:-1] - k
+            held[over[(over >= 0) & (over < len(held))]] = False
+        total = np.concatenate([[0], np.cumsum(held)])
+        ends = np.minimum(at, len(held))
+        for r in np.flatnonzero((size >= K.WORDS) & (total[ends[1:]] - total[ends[:-1]] >= index.least)).tolist():
+            part = slice(at[r], at[r + 1] - K.WORDS + 1)
+            for item, sim, first, n in index.row(x[part], held[part]):
+                yield lo + r, item, sim, first, n + K.WORDS - 1
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, num: int = 3, den: int = 4, radius: int = 23, items_per_pass: int = 20_000) -> DataFrame:
     """Rows (doc_id, item_id, similarity, first_word, n_words): where documents repeat benchmark items."""
     spark = docs.sparkSession
     small_batches(spark)
@@ -213,7 +204,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, num: int = 3, den: int =
         def run(batches, shared=shared):
             index = shared.value
             for batch in batches:
-                found = list(hits(batch.column(1), index, num, den))
+                found = list(hits(batch.column(1), index))
                 rows, items, sims, starts, sizes = (list(x) for x in zip(*found, strict=True)) if found else ([], [], [], [], [])
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int64())), pa.array(items, pa.int64()), pa.array(sims, pa.float64()), pa.array(starts, pa.int64()), pa.array(sizes, pa.int64())], ["doc_id", "item_id", "similarity", "first_word", "n_words"])
 

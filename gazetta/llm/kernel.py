@@ -71,8 +71,24 @@ def chunks(column: pa.Array, limit: int = 1 << 19):
         start = stop
 
 
-def words(data: np.ndarray, offsets: np.ndarray):
-    """Words `[^\\x20\\x09-\\x0D]+` of every row, A-Z lower-cased: hashes, row offsets into them, and first and past-last bytes."""
+def words(data: np.ndarray, offsets: np.ndarray, most: int = 1 << 21):
+    """Words `[^\\x20\\x09-\\x0D]+` of every row, A-Z lower-cased: hashes, row offsets into them, and first and past-last bytes.
+
+    Bytes are taken in stretches of about `most` that end between words, so a very long text needs little more than its words.
+    """
+    if len(data) > most:
+        parts, lo = [], 0
+        while lo < len(data):
+            hi = min(lo + most, len(data))
+            while hi < len(data) and not _SPACE[data[hi]]:
+                gap = np.flatnonzero(_SPACE[data[hi : hi + (1 << 16)]])
+                hi = hi + int(gap[0]) if len(gap) else min(hi + (1 << 16), len(data))
+            inner = offsets[(offsets > lo) & (offsets < hi)] - lo
+            h, _, start, end = words(data[lo:hi], np.concatenate([[0], inner, [hi - lo]]), hi - lo)
+            parts.append((h, start + lo, end + lo))
+            lo = hi
+        h, start, end = (np.concatenate(x) for x in zip(*parts, strict=True))
+        return h, np.searchsorted(start, offsets), start, end
     n = len(data)
     rows = len(offsets) - 1
     if not n:
