@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 class Scratch:
     """Parquet tables in the shared folder that the cluster names in spark.checkpoint.dir.
 
-    A written table cuts the lineage and survives lost executors. Where the setting is missing (single-node
-    tests) a temporary folder of this process takes its place.
+    A written table cuts the lineage and survives lost executors. Where the setting is missing a temporary folder of
+    this process takes its place, on a single machine only: a cluster must name the folder.
     """
 
     _own: str | None = None
@@ -21,11 +21,20 @@ class Scratch:
     def __init__(self, spark: SparkSession, name: str):
         root = spark.conf.get("spark.checkpoint.dir", None)
         if not root:
+            if not spark.sparkContext.master.split("[")[0] == "local":
+                raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
             Scratch._own = root = Scratch._own or tempfile.mkdtemp(prefix="gazetta-")
         self.spark, self.root = spark, f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
     def write(self, df: DataFrame, name: str) -> DataFrame:
-        df.write.mode("overwrite").parquet(f"{self.root}/{name}")
+        """Write a table; the shuffle files behind it are not needed any more and go."""
+        key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+        was = self.spark.conf.get(key, "false")
+        self.spark.conf.set(key, "true")
+        try:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(f"{self.root}/{name}")
+        finally:
+            self.spark.conf.set(key, was)
         return self.read(name, df)
 
     def read(self, name: str, like: DataFrame | None = None) -> DataFrame:
@@ -108,28 +117,55 @@ def components(edges: DataFrame, scratch: Scratch, name: str) -> DataFrame:
     return labels
 
 
-def dense_sum(df: DataFrame, task_sum, size: int, block: int = 1 << 12):
-    """Sum of one array of `size` numbers per task, as float64.
+def packed(x) -> bytes:
+    """A block of sums: places and values where few differ from zero, else all values, in as few bytes as hold them."""
+    import numpy as np
+
+    at, top = np.flatnonzero(x), np.abs(x).max()
+    kind = np.dtype(np.uint8 if x.min() >= 0 and top < 256 and (x == np.floor(x)).all() else np.float32 if top < 1 << 24 else np.float64)
+    few = len(at) * (2 + kind.itemsize) < len(x) * kind.itemsize
+    return bytes([few, kind.itemsize]) + (at.astype(np.uint16).tobytes() + x[at].astype(kind).tobytes() if few else x.astype(kind).tobytes())
+
+
+def unpacked(total, x: bytes) -> None:
+    """Add what `packed` made of a block."""
+    import numpy as np
+
+    kind = np.dtype({1: np.uint8, 4: np.float32, 8: np.float64}[x[1]])
+    if x[0]:
+        n = (len(x) - 2) // (2 + kind.itemsize)
+        total[np.frombuffer(x, np.uint16, n, 2)] += np.frombuffer(x, kind, n, 2 + 2 * n)
+    else:
+        total += np.frombuffer(x, kind, offset=2)
+
+
+def dense_sum(df: DataFrame, task_sum, size: int, block: int = 1 << 12, finish=None):
+    """Sum of one array of `size` numbers per task, as float64, or what `finish` makes of each block of it.
 
     `task_sum` turns a task's batches into its array. Arrays travel as blocks, are added by block in parallel, and
-    `size` numbers reach the driver, whatever the input.
+    `size` numbers reach the driver, whatever the input. A block has 65536 numbers at most.
     """
     import numpy as np
     import pandas as pd
     import pyarrow as pa
 
+    finish = finish or (lambda x: x)
+
     def run(batches):
-        total = np.asarray(task_sum(batches), dtype=np.float64)
+        total = np.asarray(task_sum(batches))
         full = [k for k in range(0, size, block) if total[k : k + block].any()]
-        yield pa.RecordBatch.from_arrays([pa.array([k // block for k in full], pa.int32()), pa.array([total[k : k + block].astype(np.float32 if total.max() < 1 << 24 else np.float64).tobytes() for k in full], pa.binary())], ["block", "sums"])
+        for k in full:
+            yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), pa.array([packed(total[k : k + block])], pa.binary())], ["block", "sums"])
 
     def add(part):
         k = int(part["block"].iloc[0])
-        n = min(block, size - k * block)
-        total = sum(np.frombuffer(x, dtype=np.float32 if len(x) == 4 * n else np.float64).astype(np.float64) for x in part["sums"])
-        return pd.DataFrame({"block": [k], "sums": [total.tobytes()]})
+        total = np.zeros(min(block, size - k * block))
+        for x in part["sums"]:
+            unpacked(total, x)
+        return pd.DataFrame({"block": [k], "sums": [finish(total).tobytes()]})
 
-    out = np.zeros(size)
+    none = finish(np.zeros(min(block, size)))
+    out = [none[: len(none) * min(block, size - k) // min(block, size)] for k in range(0, size, block)]
     for r in df.mapInArrow(run, "block int, sums binary").groupBy("block").applyInPandas(add, "block int, sums binary").toLocalIterator():
-        out[r["block"] * block : r["block"] * block + len(r["sums"]) // 8] = np.frombuffer(r["sums"])
-    return out
+        out[r["block"]] = np.frombuffer(r["sums"], none.dtype)
+    return np.concatenate(out)
