@@ -3,7 +3,8 @@
 A text is the mean of the embeddings of its hashed byte n-grams (A-Z lower-cased), and a linear softmax on it
 gives the languages. Both are trained by stochastic gradient descent in numpy on at most `fit_rows` labelled
 learning rows, those with the smallest hash of the id. As the model is linear up to the softmax, embeddings and
-output weights are multiplied once, and every whole text is scored by table look-ups. A temperature fitted on
+output weights are multiplied once, and every whole text is scored by table look-ups. The rows are taken by
+that hash as long as their n-grams stay within `fit_bytes`; of rows that repeat an id one teaches. A temperature fitted on
 rows left out of training calibrates the score, and a text is rejected below a score that hardly any correctly
 identified left-out row stays under.
 
@@ -24,6 +25,7 @@ from .shared import small_batches
 
 BITS = 16
 GRAMS = (2, 3, 4)
+STRETCH = 1 << 20  # bytes scored at a time
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -59,17 +61,18 @@ class Model:
 
     def logits(self, text: pa.Array) -> np.ndarray:
         out = np.zeros((len(text), len(self.langs)))
-        for lo, hi in K.chunks(text, 1 << 20):
+        for lo, hi in K.chunks(text, STRETCH):
             data, offsets = K.utf8(text.slice(lo, hi - lo))
             count = np.zeros(hi - lo)
-            for n, g in grams(data):
-                # n-grams that begin in one row and end in the next are left out by cutting each row's last n - 1
-                stop = np.maximum(offsets[1:] - (n - 1), offsets[:-1])
-                cum = np.zeros((len(g) + 1, len(self.langs)))
-                np.cumsum(self.table[g], axis=0, out=cum[1:])
-                a, b = np.minimum(offsets[:-1], len(g)), np.minimum(stop, len(g))
-                out[lo:hi] += cum[b] - cum[a]
-                count += b - a
+            for at in range(0, len(data), STRETCH):  # more than one stretch only in a long text
+                for n, g in grams(data[at : at + STRETCH + max(GRAMS) - 1]):
+                    # n-grams that begin in one row and end in the next are left out by cutting each row's last n - 1
+                    stop = np.clip(np.maximum(offsets[1:] - (n - 1), offsets[:-1]) - at, 0, min(len(g), STRETCH))
+                    start = np.minimum(np.clip(offsets[:-1] - at, 0, min(len(g), STRETCH)), stop)
+                    cum = np.zeros((len(g) + 1, len(self.langs)))
+                    np.cumsum(self.table[g], axis=0, out=cum[1:])
+                    out[lo:hi] += cum[stop] - cum[start]
+                    count += stop - start
             out[lo:hi] /= np.maximum(count, 1)[:, None]
         return (out + self.bias) / self.heat
 
@@ -121,9 +124,18 @@ def train(bags: list, y: np.ndarray, langs: list[str], dim: int, epochs: int, ra
     return model
 
 
-def learn(docs: DataFrame, fit_rows: int, dim: int, epochs: int, rate: float) -> Model | None:
+def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int, rate: float) -> Model | None:
     """`docs` has (doc_id, text, lang) of the learning rows."""
-    ids = docs.where("lang is not null").select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows)
+    docs = docs.where("lang is not null")
+    first = docs.groupBy("doc_id").agg(F.max(F.octet_length("text")).alias("n")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows).collect()
+    ids, room = [], fit_bytes
+    for r in first:  # a text of n bytes has at most 3 n n-grams, and 2**BITS different ones, of 8 bytes
+        room -= 8 * min(len(GRAMS) * (r["n"] or 0), 1 << BITS)
+        if room < 0 and ids:
+            break
+        ids.append((r["doc_id"],))
+    if not ids:
+        return None
 
     def rows(batches):
         for batch in batches:
@@ -133,21 +145,21 @@ def learn(docs: DataFrame, fit_rows: int, dim: int, epochs: int, rate: float) ->
                 found += [bag(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()), pa.array([b.astype(np.float32).tobytes() for _, b in found], pa.binary())], ["doc_id", "lang", "idx", "share"])
 
-    got = docs.where("lang is not null").join(F.broadcast(ids), "doc_id").select("doc_id", "lang", "text").mapInArrow(rows, "doc_id long, lang string, idx binary, share binary").limit(4 * fit_rows).collect()
-    if not got:
-        return None
-    got.sort(key=lambda r: (r["doc_id"], r["lang"]))
+    some = F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long"))  # at most fit_rows
+    one = F.min(F.struct("lang", "idx", "share")).alias("x")  # of rows that repeat an id
+    got = docs.join(some, "doc_id").select("doc_id", "lang", "text").mapInArrow(rows, "doc_id long, lang string, idx binary, share binary").groupBy("doc_id").agg(one).select("doc_id", "x.*").collect()
+    got.sort(key=lambda r: r["doc_id"])
     langs = sorted({r["lang"] for r in got})
     y = np.array([langs.index(r["lang"]) for r in got])
     return train([(np.frombuffer(r["idx"], np.int32).astype(np.int64), np.frombuffer(r["share"], np.float32).astype(float)) for r in got], y, langs, dim, epochs, rate)
 
 
-def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, fit_bytes: int = 1 << 29, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
     """All columns of `docs`, with held_out, lang_pred, score and rejected behind them."""
     small_batches(docs.sparkSession)
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
     base = (docs if learn_from is None else learn_from).where(~out).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    model = learn(base, fit_rows, dim, epochs, rate)
+    model = learn(base, fit_rows, fit_bytes, dim, epochs, rate)
     shared = docs.sparkSession.sparkContext.broadcast(model)
     names = ["_letter", *docs.columns, "lang_pred", "score", "rejected"]
     at = docs.columns.index("text") + 1
