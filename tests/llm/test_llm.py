@@ -17,6 +17,7 @@ from gazetta.llm.chat import escape, format_tree, read_back, unescape
 from gazetta.llm.decontam import contaminated
 from gazetta.llm.jaccard import jaccard_classes
 from gazetta.llm.langid import identify
+from gazetta.llm import mixing as M
 from gazetta.llm.mixing import score
 from gazetta.llm.packing import pack
 from gazetta.llm.quality import classify
@@ -167,10 +168,115 @@ def test_language_model(docs, corpus):
 
 def test_language_model_keeps_every_count(docs):
     """Scores do not depend on how many words travel as a broadcast."""
-    rows = [sorted(((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["base_score"], r["score"], r["bits_per_byte"]) for r in score(docs, head=head).collect())) for head in (1 << 18, 7, 0)]
-    for few in rows[1:]:
-        for a, b in zip(rows[0], few, strict=True):
-            assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-4)
+    rows = [sorted(((str(r["doc_id"]), r["n_tokens"], r["n_known"], r["base_score"], r["score"], r["bits_per_byte"]) for r in score(docs, head=head).collect())) for head in (1 << 18, 7)]
+    for a, b in zip(*rows, strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:], rel=1e-6)
+
+
+def test_language_model_sees_order_and_copies(spark):
+    """Words out of order cost more than in an order seen before, a text that stands twice costs less than one that stands once."""
+    rng = random.Random(21)
+    once = [prose(rng, 300) for _ in range(60)]
+    twice = [prose(rng, 300) for _ in range(20)]
+    mixed = twice[0].split()
+    rng.shuffle(mixed)
+    rows = list(enumerate([*once, *twice, *twice, " ".join(mixed), *([once[0]] * 1)]))
+    got = {r["doc_id"]: r for r in score(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert np.mean([got[60 + k]["bits_per_byte"] for k in range(1, 20)]) < 0.7 * np.mean([got[k]["bits_per_byte"] for k in range(1, 60)])
+    assert got[100]["score"] < got[60]["score"]
+    held = [r for r in got.values() if r["held_out"]]
+    assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
+
+
+def plain_bits(model, code, text, n, guess, other):
+    """One text's log2 probability, one decision after the other; `n` counts each of its tokens, `guess` names a foretold one."""
+    fold = lambda h: (h ^ (h >> 32)) & 0xFFFFFFFF
+    mix = lambda h: int(K.mix(np.array([h % 2**64], np.uint64))[0])
+    u32 = lambda x: x % 2**32
+    own = words(text)
+    hashes = [int(h) for h in K.words(*K.utf8(__import__("pyarrow").array([text])))[0]] + [int(M.STOP)]
+    classes = [c.bit_length() for c in n]
+    steps, besides = [], 0.0
+    ctree, btree = ([[(int(t.node[t.at[s] + k]), int(t.bit[t.at[s] + k]), k) for k in range(t.size[s])] for s in range(len(t.size))] for t in (code.classes, code.bytes))
+    run = 0
+    for i, h in enumerate(hashes):
+        one, two = (hashes[i - k] if i >= k else 0 for k in (1, 2))
+        c1, c2 = (classes[i - k] if i >= k else M.CLASSES for k in (1, 2))
+        word, pair = fold(one), fold(mix(one * 3 + two * 5))
+        level = sum(run >= e for e in (1, 2, 4, 8, 16, 32))
+        hit = bool(guess[i]) and guess[i] == max(h >> 48, 1)
+        if guess[i]:
+            kind = min(level, 3) if other[i] else 4 + min(level, 1)
+            steps.append((int(hit), M.OTHER if other[i] else M.OWN, kind, (u32(word + level), pair, u32((level * 64 + c1) * 0x2545F491))))
+        run = run + 1 if hit else 0
+        if hit:
+            continue
+        for node, bit, depth in ctree[classes[i]]:
+            steps.append((bit, node, 6 + min(depth, 3), (word, pair, u32((c1 * 64 + c2 + 1) * 0x2545F491))))
+        if n[i]:
+            besides += math.log2(code.mass[classes[i]] / n[i])
+        elif i < len(own):
+            b = [*own[i].encode(), M.END]
+            for k, x in enumerate(b):
+                last = [b[k - j] if k >= j else M.END for j in range(1, 6)]
+                three = u32((last[0] | last[1] << 8 | last[2] << 16) * 0x9E3779B1)
+                five = u32((three ^ (last[3] | last[4] << 8)) * 0x85EBCA77) if k else word
+                edge = u32(((last[0] * 64 + c1) * 8 + min(k, 7)) * 0x2545F491)
+                for node, bit, _ in btree[code.rank[last[0], x]]:
+                    steps.append((bit, node, 10 + (k > 0), (three, five, edge)))
+    weights, cells = model.weights.astype(float).copy(), [[200.0 * (1 - p), 200.0 * p] for p in model.map]
+    shown, tries, total, lo, block = {}, Counter(), 0.0, 0, 0
+    while lo < len(steps):
+        width = M.BLOCKS[0] if block < M.BLOCKS[1] else M.BLOCKS[2]
+        moves, seen, marks, gates = {}, [], [], Counter()
+        for bit, node, kind, contexts in steps[lo : lo + width]:
+            got = [int(t[u32((c ^ u32((node + 1) * 0x85EBCA6B)) * 0x9E3779B1) >> (32 - b)]) for t, c, b in zip(model.tables, contexts, M.BITS, strict=True)]
+            gate, mine = kind * M.TRUST + (got[1] & 3), min(node, M.NODES - 1)
+            a, z = shown.get(mine, (0.4, 0.4))
+            values = [(g >> 2) * M.STEP for g in got] + [math.log(z / a)]
+            dot = max(-8.9, min(8.9, sum(w * v for w, v in zip(weights[gate], values, strict=True))))
+            p = 1 / (1 + math.exp(-dot))
+            cell = int(dot / 0.75 + M.CELLS / 2)
+            q = 0.6 * p + 0.4 * cells[cell][1] / sum(cells[cell])
+            total += math.log2(q if bit else 1 - q)
+            gates[gate] += 1
+            moves.setdefault(gate, np.zeros(M.KINDS))
+            moves[gate] += (bit - p) * np.array(values)
+            seen.append((mine, bit)), marks.append((cell, bit))
+        tries += gates
+        for g, move in moves.items():
+            weights[g] += 0.02 / math.sqrt(1 + tries[g] / 32) * move
+        for mine, bit in seen:
+            a, z = shown.get(mine, (0.4, 0.4))
+            shown[mine] = (a + 1 - bit, z + bit)
+        for cell, bit in marks:
+            cells[cell][bit] += 1
+        lo, block = lo + width, block + 1
+    return total - besides
+
+
+def test_language_model_against_a_plain_reading():
+    """Whole-array reading of decisions agrees with one decision after the other."""
+    import pyarrow as pa
+
+    rng, dice = random.Random(5), np.random.default_rng(5)
+    texts = [prose(rng, 400), "", prose(rng, 3), "Ünï zz! " * 40 + prose(rng, 60), prose(rng, 900)]
+    t = M.Tokens(pa.array(texts))
+    n = np.where(dice.random(len(t.hash)) < 0.2, 0, dice.integers(1, 5000, len(t.hash)))
+    n[t.is_end] = 5
+    at, key = t.anchors()
+    told = [[{"key": int(np.uint64(k).astype(np.int64)), "n": None, "ahead": np.where(dice.random(M.AHEAD) < 0.8, t.ahead(at[j : j + 1])[0], 7).astype(np.uint16).tobytes()} for j, k in enumerate(key) if t.row[at[j]] == r] for r in range(len(texts))]
+    facts = M.Facts(pa.array(told, pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("ahead", pa.binary())]))))
+    code = M.Code(np.arange(M.CLASSES)[::-1] ** 2.0, np.full(M.CLASSES, 10_000.0), dice.integers(0, 50, 1 << 16).astype(float))
+    model = M.Model([M.entries(dice.integers(0, 30, 1 << b), dice.integers(0, 30, 1 << b)) for b in M.BITS])
+    model.weights += dice.normal(0, 0.1, model.weights.shape).astype(np.float32)
+    d = M.Decisions(t, n, code, facts)
+    got = model.bits(d) - d.besides
+    guess, other = M.foretold(t, facts)
+    assert (other & (guess > 0)).sum() > 10 and (~other & (guess > 0)).sum() > 10
+    for r, text in enumerate(texts):
+        part = slice(t.first[r], t.first[r + 1])
+        assert got[r] == pytest.approx(plain_bits(model, code, text, n[part].tolist(), guess[part].tolist(), other[part].tolist()), rel=2e-4, abs=0.05)
 
 
 SECRETS = ["password = 'abcdefgh1'", "TOKEN:short secret=token: abcdefgh", "x AKIA" + "A" * 12 + " AKIAB", "é" * 3 + "0123456789abcdef" * 2, "api_key=\"" + "k" * 9 + "\"", "ghp_" + "a" * 36, "", None]
@@ -406,3 +512,47 @@ def test_chains_and_a_large_family(spark):
     got = {r["doc_id"]: r["component_id"] for r in jaccard_classes(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).collect()}
     assert got.pop(None) is None
     assert got == {k: want[k] for k in range(len(texts)) if k not in (2001, 2006)}
+
+
+def test_decontamination_against_all_windows(spark):
+    """Every window of an item's length in every document, compared by brute force; passages at all distances from the bound."""
+    rng = random.Random(31)
+    items, docs = [], []
+    for k in range(60):
+        w = [rng.choice(["a", "b", f"{rng.randrange(10**6)}"]) for _ in range(rng.choice([5, 7, 9, 12, 30, 60, 150]))]
+        items.append((k, " ".join(w)))
+        for e in range(4):
+            own = list(w)
+            for _ in range(rng.randint(0, 1 + len(w) // 20)):
+                own[rng.randrange(len(own))] = "changed"
+            if e == 3:
+                own = own[: len(own) * 7 // 8]
+            noise = [[f"{rng.randrange(10**6)}" for _ in range(rng.choice([0, 3, 40]))] for _ in range(2)]
+            docs.append((4 * k + e, " ".join(noise[0] + own + noise[1])))
+    docs.append((999, " ".join(t for _, t in docs)))
+    shingled = lambda t: [tuple(t.split()[j : j + 5]) for j in range(len(t.split()) - 4)]
+    own = {i: (shingled(t), Counter(shingled(t))) for i, t in items}
+    want = {}
+    for d, t in docs:
+        x = shingled(t)
+        kinds = set(x)
+        for i, (y, counts) in own.items():
+            if len(kinds & set(counts)) * 8 < len(set(counts)):
+                continue
+            size = min(len(x), len(y))
+            for at in range(len(x) - size + 1):
+                same = sum((Counter(x[at : at + size]) & counts).values())
+                either = len(y) + size - same
+                if 4 * same >= 3 * either and same / either > want.get((d, i), (0,))[0]:
+                    want[d, i] = (same / either, at)
+    got = contaminated(*(spark.createDataFrame(x, f"{c} long, text string") for x, c in ((docs, "doc_id"), (items, "item_id")))).collect()
+    assert len(want) > 150 and {(r["doc_id"], r["item_id"]): (r["similarity"], r["first_word"]) for r in got} == want
+
+
+def test_decontamination_of_very_long_texts(spark):
+    rng = random.Random(32)
+    item = " ".join(f"{rng.randrange(10**7)}" for _ in range(40_000))  # more shingles than 16 bits count
+    short = " ".join(f"{rng.randrange(10**7)}" for _ in range(50))
+    docs = [(0, "x " * 5_000_000 + short), (1, f"a b c {item} d"), (2, "y" * 6_000_000 + " " + short.upper())]
+    got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")).collect()
+    assert {(r["doc_id"], r["item_id"], r["similarity"], r["first_word"]) for r in got} == {(0, 2, 1.0, 5_000_000), (1, 1, 1.0, 3), (2, 2, 1.0, 1)}
