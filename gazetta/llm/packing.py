@@ -3,8 +3,9 @@
 Each task tokenizes the documents of its split and packs them as they come. Only documents longer than a sequence
 are cut: into whole sequences, with the rest as the first piece. A piece goes to the open bin with the least free
 space that holds it; open bins are kept in a bitset keyed by free space, so the best fit is one shift and one
-lowest-bit step. When more than `open_bins` are open, the fullest closes first. No row moves between tasks, and a
-task's memory does not depend on its input.
+lowest-bit step. When more than `open_bins` are open, the fullest closes first. No text moves between tasks, and a
+task's memory does not depend on its input. The pieces of bins still open when a task ends are packed once more, the
+longest first and those of many tasks together, so splits cost little room.
 
 Defined cases: null and empty texts are documents of the end token alone; ties go to the bin opened last; repeated
 rows are packed as often as they come; other columns are ignored; an empty table gives an empty result.
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import small_batches
+from .shared import Scratch, small_batches
 
 #: The published pre-tokenizer pattern of byte-level BPE.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -121,12 +122,14 @@ def cut(length: int, size: int) -> list[int]:
     return [length] if length <= size else [(length - 1) % size + 1, *[size] * ((length - 1) // size)]
 
 
-def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, open_bins: int = 1024, id_col: str = "doc_id", text_col: str = "text", added: bool = False) -> DataFrame:
+def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, open_bins: int = 1024, id_col: str = "doc_id", text_col: str = "text", added: bool = False, together: int = 1 << 15) -> DataFrame:
     """Rows (doc_id, piece, start, length, ids_crc32, sequence_id, offset), one for each piece.
 
     With `added`, an added token in a text is its one id, as by default in `tokenizers`; else it is ordinary text.
+    Pieces of about `together` bins that tasks leave open meet in one task.
     """
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    kind = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long"
 
     def run(batches):
         code = encode(vocabulary, added)
@@ -142,8 +145,24 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 1024, end_id: int = 2, op
                         for c, v in zip(columns, (doc, k, start, n, zlib.crc32(ids[start : start + n].tobytes()), where, offset), strict=True):
                             out[c].append(v)
                         start += n
-                yield pa.RecordBatch.from_arrays([pa.array(out[c], pa.int32() if c == "piece" else pa.int64()) for c in columns], columns)
+                yield rows(out, None)
+        yield rows({"sequence_id": [b for own in bins.by_free.values() for b in own]}, [size - f for f, own in bins.by_free.items() for _ in own])
+
+    def rows(out, fill):
+        n = len(out["sequence_id"])
+        return pa.RecordBatch.from_arrays([*(pa.array(out.get(c, [None] * n), pa.int32() if c == "piece" else pa.int64()) for c in columns), pa.array(fill or [None] * n, pa.int64())], [*columns, "fill"])
+
+    def again(batches):
+        bins = Bins(size, open_bins, 1 << 61 | TaskContext.get().partitionId() << 40)
+        for batch in batches:
+            new = [bins.put(n) for n in batch.column(3).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:5], pa.array([b for b, _ in new], pa.int64()), pa.array([o for _, o in new], pa.int64())], columns)
 
     small_batches(docs.sparkSession)
+    scratch = Scratch(docs.sparkSession, "packing")
     docs = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return docs.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    done = scratch.write(docs.mapInArrow(run, kind), "pieces")
+    left, every = done.where("fill is not null").select("sequence_id"), done.where("fill is null").select(*columns)
+    tasks = -(-left.count() // together) or 1
+    loose = every.join(left, "sequence_id", "left_semi").select(*columns).repartition(tasks, "sequence_id").sortWithinPartitions(F.desc("length"), "sequence_id", "offset")
+    return every.join(left, "sequence_id", "left_anti").select(*columns).unionByName(loose.mapInArrow(again, kind.removesuffix(", fill long")))
