@@ -1,8 +1,9 @@
 """Secret scans over content-addressed blobs, with DataFrame functions only.
 
-Every version of every path is a blob named by the SHA-256 of its text. A ledger holds the (blob, rule version)
-pairs that were scanned before; only pairs it lacks are scanned, each distinct blob once, and findings are joined
-back to all paths and versions that hold the blob. A rule's leftmost non-overlapping matches and the text between
+Every version of every path is a blob named by the SHA-256 of its text. A ledger, a table on disk, holds the (blob,
+rule version) pairs that were scanned before with their spans; only pairs it lacks are scanned, each distinct blob once, and
+are written behind it. Findings come from the ledger, joined back to all paths and versions that hold the blob; blobs
+of very many rows are spread over tasks in that join. A rule's leftmost non-overlapping matches and the text between
 them come from the same pattern, so match positions are running sums of code-point lengths.
 
 Defined cases: a null text is an empty blob; a blob without findings still enters the ledger; spans are ordered by
@@ -17,6 +18,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import Scratch, salted_join
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -61,6 +64,7 @@ RULES = (
     Rule("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", "eyJ[A-Za-z0-9_-]{8}"),
 )
 SPAN = "array<struct<start:int,ord:int,kind:string,end:int>>"
+PIECE = 256  # hits that one list gathers before it is set aside, so that many hits of a text are not copied again and again
 
 
 def spans(text: Column, rule: Rule, order: int) -> Column:
@@ -69,17 +73,16 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
     parts = F.array(F.struct(F.split(text, rule.pattern, -1).alias("gap"), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)).alias("hit"), F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group)).alias("own")))
 
     def walk(x: Column) -> Column:
-        step = lambda acc, i: F.struct(
-            (acc["at"] + F.char_length(F.get(x["gap"], i)) + F.char_length(F.get(x["hit"], i))).alias("at"),
-            F.when(
-                F.char_length(F.get(x["own"], i)) >= rule.least,
-                F.concat(acc["found"], F.array(F.struct((acc["at"] + F.char_length(F.get(x["gap"], i))).alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), (acc["at"] + F.char_length(F.get(x["gap"], i)) + F.char_length(F.get(x["hit"], i))).alias("end"))).cast(SPAN)),
-            )
-            .otherwise(acc["found"])
-            .alias("found"),
+        end = lambda at, i: at + F.char_length(F.get(x["gap"], i)) + F.char_length(F.get(x["hit"], i))
+        span = lambda at, i: F.array(F.struct((at + F.char_length(F.get(x["gap"], i))).alias("start"), F.lit(order).alias("ord"), F.lit(rule.kind).alias("kind"), end(at, i).alias("end"))).cast(SPAN)
+        one = lambda acc, i: F.struct(end(acc["at"], i).alias("at"), F.when(F.char_length(F.get(x["own"], i)) >= rule.least, F.concat(acc["found"], span(acc["at"], i))).otherwise(acc["found"]).alias("found"))
+        many = lambda acc, k: F.aggregate(
+            F.sequence(k * PIECE, F.least((k + 1) * PIECE, F.size(x["hit"])) - 1), F.struct(acc["at"].alias("at"), none.alias("found")), one,
+            lambda own: F.struct(own["at"].alias("at"), F.concat(acc["all"], F.array(own["found"])).alias("all")),
         )
-        start = F.struct(F.lit(0).alias("at"), none.alias("found"))
-        return F.aggregate(F.when(F.size(x["hit"]) > 0, F.sequence(F.lit(0), F.size(x["hit"]) - 1)).otherwise(F.array().cast("array<int>")), start, step, lambda acc: acc["found"])
+        start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{SPAN}>").alias("all"))
+        pieces = F.when(F.size(x["hit"]) > 0, F.sequence(F.lit(0), ((F.size(x["hit"]) - 1) / PIECE).cast("int"))).otherwise(F.array().cast("array<int>"))
+        return F.aggregate(pieces, start, many, lambda acc: F.flatten(acc["all"]))
 
     return F.when(text.rlike(rule.gate), F.get(F.transform(parts, walk), F.lit(0))).otherwise(none)
 
@@ -89,37 +92,44 @@ def named(text: Column) -> Column:
     return F.unhex(F.sha2(text.cast("binary"), 256))
 
 
+FOUND = f"array<struct<rule:string,spans:{SPAN}>>"
+
+
 def scanned(history: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | None) -> DataFrame:
-    """One row for each blob of (blob, text): its text, spans known before, and new spans of each unseen rule (s0, s1, ...)."""
+    """(blob, text, found) of each blob of (blob, text) that the ledger lacks a rule of: the spans of each rule that it lacks."""
     blobs = history.groupBy("blob").agg(F.first("text").alias("text"))
+    none = F.array().cast("array<string>")
     if ledger is None:
-        todo = blobs.withColumn("old", F.array().cast("array<string>")).withColumn("before", F.array().cast(SPAN))
+        todo = blobs.withColumn("old", none)
     else:
-        seen = ledger.where(F.col("rule").isin([r.name for r in rules])).groupBy("blob").agg(F.collect_set("rule").alias("old"), F.flatten(F.collect_list("spans")).alias("before"))
-        todo = blobs.join(seen, "blob", "left").withColumn("old", F.coalesce("old", F.array().cast("array<string>"))).withColumn("before", F.coalesce("before", F.array().cast(SPAN)))
-    new = [F.when(~F.array_contains("old", r.name), spans(F.col("text"), r, k)).alias(f"s{k}") for k, r in enumerate(rules)]
-    return todo.select("blob", "text", "before", *new)
+        seen = ledger.groupBy("blob").agg(F.array_distinct(F.flatten(F.collect_list(F.col("found")["rule"]))).alias("old"))  # at most all rule versions
+        todo = blobs.join(seen, "blob", "left").withColumn("old", F.coalesce("old", none)).where(F.size(F.array_except(F.array(*(F.lit(r.name) for r in rules)), F.col("old"))) > 0)
+    new = F.array(*(F.when(~F.array_contains("old", r.name), F.struct(F.lit(r.name).alias("rule"), spans(F.col("text"), r, k).alias("spans"))) for k, r in enumerate(rules)))
+    return todo.select("blob", "text", F.filter(new, lambda x: x.isNotNull()).cast(FOUND).alias("found"))
 
 
-def merged(n: int) -> Column:
-    """All spans of a scanned blob, in order."""
-    return F.array_sort(F.concat("before", F.flatten(F.array(*(F.coalesce(f"s{k}", F.array().cast(SPAN)) for k in range(n))))))
+def merged(found: Column, rules: tuple[Rule, ...]) -> Column:
+    """All spans of these rules, in order."""
+    own = F.filter(found, lambda x: x["rule"].isin([r.name for r in rules]))
+    return F.array_sort(F.flatten(F.transform(own, lambda x: x["spans"])))
 
 
 def scan(history: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
     """Findings of every row of a history, and the ledger after the scan.
 
-    `history` has one row for each version of each path. `ledger` has (blob, rule, spans), one row for each pair
-    scanned so far; without one, all pairs are unseen. Findings have (path, blob, spans).
+    `history` has one row for each version of each path. `ledger` has (blob, found), the spans of each rule version by
+    which the blob was scanned; a blob that later rules scan again has further rows. Without one, all pairs are
+    unseen. What is scanned now is written before findings are joined to it. Findings have (path, blob, spans).
     """
     history = history.select(F.col(path_col).alias("path"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     history = history.withColumn("blob", named(F.col("text")))
-    found = scanned(history, rules, ledger)
-    each = found.select("blob", merged(len(rules)).alias("spans"))
-    done = found.select("blob", F.explode(F.array(*(F.struct(F.lit(r.name).alias("rule"), F.col(f"s{k}").alias("spans")) for k, r in enumerate(rules)))).alias("x"))
-    done = done.select("blob", "x.rule", "x.spans").where("spans is not null")
-    findings = history.select("path", "blob").join(each.where(F.size("spans") > 0), "blob", "left").select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans"))
-    return findings, done if ledger is None else ledger.select("blob", "rule", "spans").unionByName(done)
+    scratch = Scratch(history.sparkSession, "secrets")
+    after = scratch.write(scanned(history, rules, ledger).select("blob", "found"), "ledger")
+    if ledger is not None:
+        after = ledger.select("blob", "found").unionByName(after)
+    each = after.groupBy("blob").agg(F.flatten(F.collect_list("found")).alias("found")).select("blob", merged(F.col("found"), rules).alias("spans")).where(F.size("spans") > 0)
+    findings = salted_join(history.select("path", "blob"), each, "blob", "path")
+    return findings.select("path", "blob", F.coalesce("spans", F.array().cast(SPAN)).alias("spans")), after
 
 
 def written(found: Column) -> Column:
@@ -143,17 +153,15 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mask: str = "[SECRE
     """
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     found = scanned(docs.select(named(text).alias("blob"), text.alias("text")), rules, None)
-    found = found.select("blob", "text", merged(len(rules)).alias("spans"))
-    cut = F.aggregate(
-        "spans",
-        F.struct(F.lit(0).alias("at"), F.lit("").alias("out")),
-        lambda acc, s: F.struct(
-            F.greatest(acc["at"], s["end"]).alias("at"),
-            F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"]), F.lit(mask))).otherwise(acc["out"]).alias("out"),
-        ),
-        lambda acc: F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, F.char_length("text"))),
-    )
+    found = found.select("blob", "text", merged(F.col("found"), rules).alias("spans"))
+    # gaps between spans, and a mask for each run of spans that overlap
+    past = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out")), lambda acc, s: F.struct(
+        F.greatest(acc["at"], s["end"]).alias("at"),
+        F.when(s["start"] >= acc["at"], F.concat(acc["out"], F.array(F.substring(F.col("text"), acc["at"] + 1, s["start"] - acc["at"])))).otherwise(acc["out"]).alias("out"),
+    ), lambda acc: F.concat(acc["out"], F.array(F.substring(F.col("text"), acc["at"] + 1, F.char_length("text")))))
+    cut = F.array_join(past, mask)
     found = found.select(F.col("blob").alias("_blob"), F.when(F.size("spans") > 0, cut).otherwise(F.col("text")).alias("_text"))
     rest = docs.withColumn("_blob", named(text)).withColumn("_null", F.col(text_col).isNull()).drop(text_col)
-    out = rest.join(found, "_blob", "left").withColumn(text_col, F.when(~F.col("_null"), F.col("_text")))
+    rest = rest.withColumn("_by", F.xxhash64(docs.columns[0]))
+    out = salted_join(rest, found, "_blob", "_by").withColumn(text_col, F.when(~F.col("_null"), F.col("_text")))
     return out.select(docs.columns)
