@@ -33,13 +33,17 @@ def url_sql() -> str:
     case = lambda what: "case " + " ".join(f"when {fits(r)} then '{what(r)}'" for r in order) + " end"
     k = lambda name, table: f"""{name} as (select coalesce(greatest(1.0, least(1000.0, case when s2 - v * h / n > 0 and v > s2 then (v - s2) / (s2 - v * h / n) else 1000.0 end)), 1000.0) as {name}
   from (select sum(n * (y::double / n - m) ** 2) / sum(n) as s2, max(m) * (1 - max(m)) as v, count(*)::double as h, sum(n)::double as n from {table}, (select sum(y)::double / sum(n) as m from {table} where n > 0) where n > 0))"""
+    known = ", ".join(f"'{s}'" for s in urls.SUFFIXES)
     return f"""
 with p as (select page_id, translate(coalesce(regexp_extract(url, '://([^/?#]*)', 1), ''), '{urls._UP}', '{urls._LOW}') as host,
   coalesce(regexp_extract(url, '://[^/?#]*([^?#]*)', 1), '') as path from pages),
 o as (select doc_id as page_id, (quality = 1 and coalesce(toxic, 0) = 0)::int as good from labels where quality is not null),
 lab as (select host, count(*) as n, sum(good) as y from p join o using (page_id) group by host),
-ev as (select host, array_to_string(list_slice(string_split(host, '.'), -2, -1), '.') as domain, string_split(host, '.')[-1] as suffix, coalesce(n, 0) as n, coalesce(y, 0) as y
-  from (select distinct host from p) left join lab using (host)),
+bare as (select host, regexp_replace(host, ':[0-9]*$', '') as b from (select distinct host from p)),
+two as (select host, b, array_to_string(list_slice(string_split(b, '.'), -2, -1), '.') as last2, regexp_matches(b, '{urls._IP}') as ip from bare),
+ev as (select host, case when ip then b when last2 in ({known}) then array_to_string(list_slice(string_split(b, '.'), -3, -1), '.') else last2 end as domain,
+  case when ip then 'ip' when last2 in ({known}) then last2 else string_split(b, '.')[-1] end as suffix, coalesce(n, 0) as n, coalesce(y, 0) as y
+  from two left join lab using (host)),
 dom as (select domain, suffix, sum(n) as n, sum(y) as y from ev group by domain, suffix),
 suf as (select suffix, sum(n) as n, sum(y) as y from dom group by suffix),
 tot as (select coalesce(sum(y)::double / nullif(sum(n), 0), 0.5) as m0 from suf),
