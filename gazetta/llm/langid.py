@@ -155,8 +155,9 @@ def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int,
 
 
 def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, fit_bytes: int = 1 << 29, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
-    """All columns of `docs`, with held_out, lang_pred, score and rejected behind them."""
+    """All columns of `docs`, with held_out, lang_pred, score and rejected behind them, in place of any of these names."""
     small_batches(docs.sparkSession)
+    docs = docs.drop("held_out", "lang_pred", "score", "rejected", "_letter")
     out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == fold, F.lit(False))
     base = (docs if learn_from is None else learn_from).where(~out).where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     model = learn(base, fit_rows, fit_bytes, dim, epochs, rate)
