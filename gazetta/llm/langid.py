@@ -151,10 +151,10 @@ def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int,
     got.sort(key=lambda r: r["doc_id"])
     langs = sorted({r["lang"] for r in got})
     y = np.array([langs.index(r["lang"]) for r in got])
-    return train([(np.frombuffer(r["idx"], np.int32).astype(np.int64), np.frombuffer(r["share"], np.float32).astype(float)) for r in got], y, langs, dim, epochs, rate)
+    return train([(np.frombuffer(r["idx"], np.int32), np.frombuffer(r["share"], np.float32)) for r in got], y, langs, dim, epochs, rate)
 
 
-def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, fit_bytes: int = 1 << 29, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
+def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, fit_bytes: int = 1 << 27, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
     """All columns of `docs`, with held_out, lang_pred, score and rejected behind them, in place of any of these names."""
     small_batches(docs.sparkSession)
     docs = docs.drop("held_out", "lang_pred", "score", "rejected", "_letter")
