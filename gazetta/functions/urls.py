@@ -42,21 +42,24 @@ def is_web(url: Column | str) -> Column:
 
 
 def is_safe(url: Column | str) -> Column:
-    """What a browser on an https page would open: relative links resolve to the page, other schemes do not."""
-    x = F.trim(filled(url))
-    return (x != "") & (scheme(x).isin("", "http", "https"))
+    """What a browser on an https page would open: relative links resolve to the page, other schemes do not.
+
+    As browsers do, tabs and line ends anywhere and controls and spaces at the ends are ignored. http and https need a host.
+    """
+    x = F.regexp_replace(F.regexp_replace(filled(url), r"[\t\n\r]", ""), r"\A[\x00-\x20]+|[\x00-\x20]+\z", "")
+    return (x != "") & ((scheme(x) == "") | x.rlike(r"(?i)\Ahttps?:[/\\]*[^/\\?#]"))
 
 
 def parameter(url: Column | str, key: str, any_case: bool = False) -> Column:
     """The first nonempty value of a query parameter, decoded; empty if there is none."""
     flag = "(?i)" if any_case else ""
-    raw = F.regexp_extract(query(url), rf"{flag}(?:\A|&){key}=([^&]+)", 1)
+    raw = F.regexp_extract(query(url), rf"{flag}(?:\A|&)\Q{key}\E=([^&]+)", 1)
     return F.coalesce(F.try_url_decode(raw), raw)
 
 
 def has_parameter(url: Column | str, key: str) -> Column:
     """Whether the key is there in any case, with or without a value."""
-    return query(url).rlike(rf"(?i)(\A|&){key}(=|&|\z)")
+    return query(url).rlike(rf"(?i)(\A|&)\Q{key}\E(=|&|\z)")
 
 
 def slug(url: Column | str) -> Column:
@@ -97,3 +100,14 @@ def destination(method: Column | str, fixed_route: Column | str, observed: Colum
     """The link to show: for session-bound portals the registered board, unless a fresh session proved the link."""
     bound = (filled(method) == "itrent") & (has_parameter(observed, "usession") | ~stable)
     return F.when(bound, filled(fixed_route)).otherwise(filled(observed))
+
+
+def destination_problem(link: Column | str, method: Column | str, fixed_route: Column | str, stable: Column) -> Column:
+    """Why a shown link breaks the policy, or null: not absolute http(s), or session-bound instead of the registered board."""
+    return F.when(~is_web(link), "link_not_web").when(filled(link) != destination(method, fixed_route, link, stable), "link_bound_to_session")
+
+
+def advert_link(href: Column | str, page: Column | str) -> Column:
+    """A listed link resolved against its page, or null where it leaves the page's site."""
+    target = resolved(href, page)
+    return F.when(same_site(target, page), target)

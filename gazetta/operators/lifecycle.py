@@ -10,7 +10,7 @@ from gazetta.functions import text, urls
 #: States of a run and of a candidate.
 ENDED = ("OK", "EMPTY", "PARTIAL", "ERROR")
 STATES = ("NOT_STARTED", "RUNNING", *ENDED)
-CANDIDATE_STATES = ("LIST_ONLY", "DETAIL_COMPLETE", "EXCLUDED")
+CANDIDATE_STATES = ("CAPTURED", "DETAIL_COMPLETE", "EXCLUDED")
 #: Texts that mean a page was withheld.
 CHALLENGES = ("complete the security check", "verify you are human", "access denied", "just a moment", "checking your browser", "quick check needed", "confirm you're a real person", "altcha-widget")
 BLOCKED = r"(?i)possible security violation|E0227SECURITY"
@@ -55,9 +55,14 @@ def outcome(complete: Column, candidates: Column) -> Column:
     return F.when(complete & some, "OK").when(complete, "EMPTY").when(some, "PARTIAL").otherwise("ERROR")
 
 
-def counters(candidates: DataFrame) -> DataFrame:
-    """Listed and fully read candidates of each source."""
-    return candidates.groupBy("source_id").agg(F.count("*").alias("listed"), F.count_if(F.col("status") == "DETAIL_COMPLETE").alias("detail_complete"))
+def counters(candidates: DataFrame, fetches: DataFrame | None = None) -> DataFrame:
+    """Listed and fully read candidates of each source; with `fetches` (source_id, page, cached) also pages, requests and cache hits."""
+    own = candidates.groupBy("source_id").agg(F.count("*").alias("listed"), F.count_if(F.col("status") == "DETAIL_COMPLETE").alias("detail_complete"))
+    if fetches is None:
+        return own
+    seen = fetches.groupBy("source_id").agg(F.countDistinct("page").alias("pages"), F.count_if(~F.col("cached")).alias("requests"), F.count_if("cached").alias("cache_hits"))
+    none = ("listed", "detail_complete", "pages", "requests", "cache_hits")
+    return own.join(seen, "source_id", "full_outer").select("source_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in none))
 
 
 def completeness(listed: DataFrame, advertised: DataFrame, key: str = "source_id", identity: str = "identity") -> DataFrame:
@@ -71,9 +76,8 @@ def completeness(listed: DataFrame, advertised: DataFrame, key: str = "source_id
 
 def conflicts(rows: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Keys whose rows differ in any value, with how many rows and distinct contents they have."""
-    content = F.xxhash64(*values)
-    lo, hi = F.min(content), F.max(content)
-    return rows.groupBy(*keys).agg(F.count("*").alias("rows"), (lo != hi).alias("differs")).where("differs").select(*keys, "rows")
+    content = F.struct(*values)  # a null is a value like any other
+    return rows.groupBy(*keys).agg(F.count("*").alias("rows"), (~F.min(content).eqNullSafe(F.max(content))).alias("differs")).where("differs").select(*keys, "rows")
 
 
 def duplicates(candidates: DataFrame) -> DataFrame:
@@ -96,16 +100,27 @@ def next_pages(links: DataFrame) -> DataFrame:
 
 
 def page_numbers(edges: DataFrame, start: DataFrame, budget: int = 100) -> DataFrame:
-    """(page_url, step): pages reached from start pages along next links within a budget; a cycle ends by itself."""
-    seen = start.select("page_url").distinct().withColumn("step", F.lit(0))
-    front = seen
-    for step in range(1, budget):
-        found = front.select(F.col("page_url").alias("at")).join(edges.select(F.col("page_url").alias("at"), F.col("next_url").alias("page_url")), "at").where("page_url is not null").select("page_url").distinct().join(seen, "page_url", "left_anti")
-        front = found.withColumn("step", F.lit(step)).checkpoint() if edges.sparkSession.sparkContext.getCheckpointDir() else found.withColumn("step", F.lit(step)).cache()
+    """(page_url, step, problem): pages reached from start pages along next links.
+
+    `edges` has page_url, next_url and ambiguous, as `next_pages` gives them. Where a walk cannot go on although there is a next link, its
+    last page says why: `ambiguous`, `other site`, `repeated page` or `budget`.
+    """
+    spark = edges.sparkSession
+    links = edges.select("page_url", "next_url", "ambiguous")
+    keep = lambda x: x.checkpoint() if spark.sparkContext.getCheckpointDir() else x.cache()
+    front, done = keep(start.select("page_url").distinct().withColumn("step", F.lit(0))), None
+    seen = front.select(F.col("page_url").alias("known"))
+    for step in range(budget):
+        ahead = front.join(links, "page_url", "left").join(seen.distinct(), F.col("next_url") == F.col("known"), "left")
+        why = F.when(F.coalesce("ambiguous", F.lit(False)), "ambiguous").when(F.col("next_url").isNull(), F.lit(None)).when(urls.authority("next_url") != urls.authority("page_url"), "other site").when(F.col("known").isNotNull(), "repeated page")
+        ahead = keep(ahead.withColumn("problem", why if step < budget - 1 else F.coalesce(why, F.when(F.col("next_url").isNotNull(), "budget"))))
+        rows = ahead.select("page_url", "step", "problem")
+        done = rows if done is None else done.unionByName(rows)
+        front = keep(ahead.where("next_url is not null and problem is null").select(F.col("next_url").alias("page_url")).distinct().withColumn("step", F.lit(step + 1)))
         if front.isEmpty():
             break
-        seen = seen.unionByName(front)
-    return seen
+        seen = seen.unionByName(front.select(F.col("page_url").alias("known")))
+    return done
 
 
 def id_mismatches(listed: DataFrame, detailed: DataFrame, key: str = "identity") -> DataFrame:
@@ -115,7 +130,8 @@ def id_mismatches(listed: DataFrame, detailed: DataFrame, key: str = "identity")
 
 def reused(listed: DataFrame, existing: DataFrame) -> DataFrame:
     """Listed rows with the candidate that was read before at the same link, if any, and whether work remains."""
-    old = existing.select("detail_url", F.col("status").alias("old_status")).dropDuplicates(["detail_url"])
+    state = F.struct((F.col("status") == "DETAIL_COMPLETE").alias("complete"), "status")  # of a repeated link the furthest state counts
+    old = existing.groupBy("detail_url").agg(F.max(state)["status"].alias("old_status"))
     return listed.join(old, "detail_url", "left").withColumn("remains", F.coalesce(F.col("old_status") != "DETAIL_COMPLETE", F.lit(True)))
 
 

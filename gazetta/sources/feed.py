@@ -25,19 +25,26 @@ def normalized(feed: DataFrame) -> DataFrame:
     return feed.withColumns({c: text.trimmed(c) for c in SUMMARY_COLUMNS})
 
 
-def read_bulk(spark: SparkSession, path: str) -> DataFrame:
-    """Feeds of one contract with Spark's splittable reader; a malformed record keeps its line in `_corrupt_record`.
+def headers(spark: SparkSession, path: str) -> DataFrame:
+    """(file, header): the first line of every file."""
+    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("k")).where("file_block_start = 0")
+    return lines.groupBy(F.col("file_path").alias("file")).agg(F.regexp_replace(F.min_by("value", "k"), "^\ufeff", "").alias("header"))
 
-    The header is compared exactly first, as the reader's own check ignores case.
+
+def read_bulk(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """Feeds of one contract; a malformed record keeps its line in `_corrupt_record`, blank records are left out.
+
+    The header of every file is compared exactly first, as the reader's own check ignores case and order. With `multiline`
+    values may hold line ends, and a file is one task's work; without it files are split, and a value with a line end is malformed.
     """
-    first = spark.read.text(path).first()
-    header = (first[0] if first else "").removeprefix("﻿").split(",")
-    columns = {tuple(c): c for c in (LEGACY_COLUMNS, SUMMARY_COLUMNS)}.get(tuple(header))
+    told = [r["header"] for r in headers(spark, path).select("header").distinct().limit(2).collect()]
+    columns = {",".join(c): c for c in (LEGACY_COLUMNS, SUMMARY_COLUMNS)}.get(told[0]) if len(told) == 1 else None
     if columns is None:
-        raise ValueError("the header is neither contract")
+        raise ValueError("the headers are not all one contract's")
     schema = ", ".join(f"{c} string" for c in columns) + ", _corrupt_record string"
-    rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=True, multiLine=True, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
-    return normalized(rows)
+    rows = spark.read.schema(schema).csv(path, header=True, enforceSchema=True, multiLine=multiline, quote='"', escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
+    rows = normalized(rows)
+    return rows.where(F.col("_corrupt_record").isNotNull() | (F.concat(*SUMMARY_COLUMNS) != ""))
 
 
 def parse_strict(files: DataFrame) -> DataFrame:
@@ -117,6 +124,13 @@ def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, _corrupt_record string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
 
 
+def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A state table of JSON lines, empty where nothing is stored yet."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+    return read_lines(spark, path, schema) if there else spark.createDataFrame([], f"{schema}, _corrupt_record string")
+
+
 def evidence(files: DataFrame, meta: DataFrame) -> DataFrame:
     """Stored pages joined to their metadata by content digest; `intact` is false where the digest has no page."""
     pages = files.select(F.sha2("content", 256).alias("sha256"), "content").dropDuplicates(["sha256"])

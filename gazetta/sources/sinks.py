@@ -16,7 +16,7 @@ def write_feed(feed: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Rows as JSON with sorted keys; a reader sees the old table or the new one."""
+    """Rows as JSON with sorted keys. The old files go before the new ones come, so readers should wait for `_SUCCESS`."""
     df.select(F.to_json(F.struct(*sorted(df.columns))).alias("value")).write.mode("overwrite").text(path)
 
 
@@ -34,12 +34,20 @@ def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None
     """Replace the rows of one partition value and keep all others; no new rows means that its old ones go."""
     spark = df.sparkSession
     if df.isEmpty():
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{column}={value}")
+        name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}")
         p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
         return
     df.withColumn(column, F.lit(value)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path)
 
 
+def save_checked(df: DataFrame, path: str, violations: DataFrame) -> None:
+    """Write a state table as JSON lines unless its rules are broken; `violations` has a row for each broken one."""
+    if first := violations.limit(3).collect():  # enough to tell
+        raise ValueError(f"not saved: {'; '.join(str(r.asDict()) for r in first)}")
+    write_json(df, path)
+
+
 def replaced(old: DataFrame, new: DataFrame, column: str, value: str) -> DataFrame:
     """The table as `replace_partition` leaves it."""
     return old.where(F.col(column) != value).unionByName(new.where(F.col(column) == value))
