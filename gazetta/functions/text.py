@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 #: White space as the feed's contract counts it: Unicode white space and the four ASCII separators.
 SPACE = r"(?U)[\s\x1c-\x1f]"
+BLANKS = "".join(map(chr, [*range(9, 14), *range(28, 33), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 
 
 def col(c: Column | str) -> Column:
@@ -19,7 +20,7 @@ def filled(c: Column | str) -> Column:
 
 
 def trimmed(c: Column | str) -> Column:
-    return F.regexp_replace(filled(c), rf"{SPACE}+\z|\A{SPACE}+", "")
+    return F.trim(filled(c), F.lit(BLANKS))
 
 
 def collapsed(c: Column | str) -> Column:
@@ -34,8 +35,7 @@ def folded(c: Column | str) -> Column:
 
 def words(c: Column | str) -> Column:
     """Number of words; the empty text has none."""
-    x = collapsed(c)
-    return F.when(x == "", 0).otherwise(F.size(F.split(x, " ")))
+    return F.regexp_count(filled(c), F.lit(r"(?U)[^\s\x1c-\x1f]+"))
 
 
 def blank(c: Column | str) -> Column:

@@ -57,6 +57,12 @@ def facet_options(feed: DataFrame, field: str) -> DataFrame:
     return feed.where(text.filled(field) != "").select(field).distinct().orderBy(text.order_text(F.col(field)), field)
 
 
+def all_facets(feed: DataFrame) -> DataFrame:
+    """(facet, value) of all dimensions in one pass."""
+    each = F.explode(F.array(*(F.struct(F.lit(f).alias("facet"), text.filled(f).alias("value")) for f in FACETS)))
+    return feed.select(each.alias("x")).where("x.value <> ''").select("x.facet", "x.value").distinct()
+
+
 def order_keys(mode: str) -> list[tuple[Column, bool]]:
     """Sort keys of a mode, as (column, descending); the record number keeps ties in feed order."""
     title, organization = (text.order_text(text.filled(c)) for c in ("job_title", "organization"))

@@ -14,35 +14,51 @@ def _as_finding(field: str):
     return lambda code: F.struct(F.lit(field).alias("field"), code.alias("code"))
 
 
+def field_flags(feed: DataFrame, number: str) -> dict:
+    """The flags of each field."""
+    kinds = {"job_summary": flags.summary_flags, "salary": flags.salary_flags}
+    return {f: kinds.get(f, flags.text_flags)(f) for f in feed.columns if f != number}
+
+
 def row_findings(feed: DataFrame, number: str = "rec_no") -> DataFrame:
     """One finding for each flag of each field, in row and field order."""
-    fields = [c for c in feed.columns if c != number]
-    raised = []
-    for f in fields:
-        found = flags.summary_flags(f) if f == "job_summary" else flags.salary_flags(f) if f == "salary" else flags.text_flags(f)
-        raised.append(F.transform(found, _as_finding(f)))
+    raised = [F.transform(found, _as_finding(f)) for f, found in field_flags(feed, number).items()]
     each = feed.select(F.col(number).alias("n"), F.posexplode(F.flatten(F.array(*raised))).alias("at", "x"))
     return each.select(F.lit(0).alias("part"), F.col("n").alias("first"), "at", F.col("x.code").alias("code"), F.col("x.field").alias("field"), F.array(F.col("n").cast("int")).alias("row_numbers"), F.lit(None).cast("string").alias("organization"))
 
 
+def _summary_rows(feed: DataFrame, number: str, least: int) -> DataFrame:
+    """(n, summary, role) of rows with a summary of `least` words or more, texts as digests."""
+    key = lambda c: text.folded(text.collapsed(c))
+    return feed.where(text.words("job_summary") >= least).select(F.col(number).cast("int").alias("n"), F.sha2(key("job_summary"), 256).alias("summary"), F.sha2(F.concat_ws("\u0001", key("organization"), key("job_title"), key("job_reference")), 256).alias("role"))
+
+
+def _shared_summaries(rows: DataFrame) -> DataFrame:
+    """Summaries of several roles."""
+    return rows.groupBy("summary").agg(F.min("role").alias("lo"), F.max("role").alias("hi")).where("lo <> hi").select("summary")
+
+
 def repeated_summaries(feed: DataFrame, number: str = "rec_no", least: int = 30) -> DataFrame:
     """Summaries of `least` words or more that different roles share.
 
     Groups are counted before their row numbers are gathered, so texts that occur once are never collected.
     """
-    key = lambda c: text.folded(text.collapsed(c))
-    rows = feed.where(text.words("job_summary") >= least).select(F.col(number).cast("int").alias("n"), F.sha2(key("job_summary"), 256).alias("summary"), F.sha2(F.concat_ws("\u0001", key("organization"), key("job_title"), key("job_reference")), 256).alias("role"))
-    shared = rows.groupBy("summary").agg(F.min("role").alias("lo"), F.max("role").alias("hi")).where("lo <> hi").select("summary")
-    groups = rows.join(shared, "summary", "left_semi").groupBy("summary").agg(F.array_sort(F.collect_list("n")).alias("row_numbers"))
+    rows = _summary_rows(feed, number, least)
+    groups = rows.join(_shared_summaries(rows), "summary", "left_semi").groupBy("summary").agg(F.array_sort(F.collect_list("n")).alias("row_numbers"))
     return groups.select(F.lit(1).alias("part"), F.array_min("row_numbers").alias("first"), F.lit(0).alias("at"), F.lit("repeated_summary").alias("code"), F.lit("job_summary").alias("field"), "row_numbers", F.lit(None).cast("string").alias("organization"))
 
 
-def blank_employer_fields(feed: DataFrame, number: str = "rec_no", least: int = 3, fields: tuple[str, ...] = ("salary", "job_summary")) -> DataFrame:
-    """Fields that are blank in every row of an employer with `least` rows or more."""
+def _blank_groups(feed: DataFrame, number: str, least: int, fields: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+    """The rows with their employer, and (employer, organization, x) of each field that is blank in all rows of an employer."""
     fields = tuple(f for f in fields if f in feed.columns)
     rows = feed.withColumn("employer", text.folded(text.collapsed("organization"))).where("employer <> ''")
     groups = rows.groupBy("employer").agg(F.count("*").alias("rows"), F.min_by("organization", number).alias("organization"), *(F.every(text.blank(f)).alias(f) for f in fields))
-    groups = groups.where(F.col("rows") >= least).select("employer", "organization", F.explode(F.array_compact(F.array(*(F.when(F.col(f), F.struct(F.lit(k).alias("at"), F.lit(f).alias("field"))) for k, f in enumerate(fields))))).alias("x"))
+    return rows, groups.where(F.col("rows") >= least).select("employer", "organization", F.explode(F.array_compact(F.array(*(F.when(F.col(f), F.struct(F.lit(k).alias("at"), F.lit(f).alias("field"))) for k, f in enumerate(fields))))).alias("x"))
+
+
+def blank_employer_fields(feed: DataFrame, number: str = "rec_no", least: int = 3, fields: tuple[str, ...] = ("salary", "job_summary")) -> DataFrame:
+    """Fields that are blank in every row of an employer with `least` rows or more."""
+    rows, groups = _blank_groups(feed, number, least, fields)
     numbers = rows.select("employer", F.col(number).cast("int").alias("n")).join(groups.select("employer").distinct(), "employer", "left_semi").groupBy("employer").agg(F.array_sort(F.collect_list("n")).alias("row_numbers"))
     found = groups.join(numbers, "employer")
     return found.select(F.lit(2).alias("part"), F.array_min("row_numbers").alias("first"), F.col("x.at").alias("at"), F.lit("employer_field_entirely_blank").alias("code"), F.col("x.field").alias("field"), "row_numbers", "organization")
@@ -55,9 +71,17 @@ def findings(feed: DataFrame, number: str = "rec_no") -> DataFrame:
     return every.withColumn("reason", flags.reason("code")).orderBy("part", "first", "at").select(*FINDING)
 
 
-def report(feed: DataFrame, number: str = "rec_no") -> DataFrame:
-    """One row of counts."""
-    return findings(feed, number).agg(F.count("*").alias("finding_count")).select(F.lit(True).alias("advisory_only"), F.lit(feed.count()).alias("row_count"), "finding_count")
+def report(feed: DataFrame, number: str = "rec_no", fields: tuple[str, ...] = ("salary", "job_summary")) -> DataFrame:
+    """One row of counts: rows and findings, which are counted where they arise and neither gathered nor sorted."""
+    own = F.lit(0)
+    for found in field_flags(feed, number).values():
+        own = own + F.size(found)
+    counts = feed.agg(F.count("*").alias("row_count"), F.coalesce(F.sum(own), F.lit(0)).alias("n"))
+    groups = _blank_groups(feed, number, 3, fields)[1].agg(F.count("*").alias("n"))
+    if "job_summary" in feed.columns:
+        groups = groups.unionByName(_shared_summaries(_summary_rows(feed, number, 30)).agg(F.count("*").alias("n")))
+    every = counts.unionByName(groups.select(F.lit(0).cast("long").alias("row_count"), "n"))  # a row for each kind
+    return every.agg(F.sum("row_count").alias("row_count"), F.sum("n").alias("finding_count")).select(F.lit(True).alias("advisory_only"), "row_count", "finding_count")
 
 
 def with_previous(df: DataFrame, keys: list[str], order: list[str], column: str, name: str) -> DataFrame:

@@ -103,6 +103,23 @@ def inherited_exceptions(retained: DataFrame, fixed_routes: DataFrame) -> DataFr
     return told.where("shared_apply_url or blank_summary").select("organization", "job_title", "apply_url", "job_reference", "shared_apply_url", "blank_summary")
 
 
+def baseline_violations(baseline: DataFrame, checked: str) -> DataFrame:
+    """Rows (rec_no, code) that keep a baseline from being the approved one of a day: another date, or none."""
+    if any(c not in baseline.columns for c in SUMMARY_COLUMNS):
+        raise ValueError("a baseline has the columns of the summary contract")
+    return baseline.where(text.filled("date_checked") != checked).select("rec_no", F.lit("other_day").alias("code"))
+
+
+def source_counts(claimed_rows: DataFrame, decisions: DataFrame) -> DataFrame:
+    """(source_id, baseline_rows, fresh_rows, excluded): what a source had, what its decisions bring, and what they leave out.
+
+    `claimed_rows` as `claimed` gives them, `decisions` with source_id and outcome.
+    """
+    had = claimed_rows.where("source_id is not null").groupBy("source_id").agg(F.count("*").alias("baseline_rows"))
+    now = decisions.groupBy("source_id").agg(F.count_if(F.col("outcome") == "include").alias("fresh_rows"), F.count_if(F.col("outcome") == "exclude").alias("excluded"))
+    return had.join(now, "source_id", "full_outer").select("source_id", *(F.coalesce(c, F.lit(0)).alias(c) for c in ("baseline_rows", "fresh_rows", "excluded")))
+
+
 def manifest(counts: DataFrame, **facts: str) -> DataFrame:
     """One JSON document of counts and facts."""
     return counts.select(F.to_json(F.struct(*(F.lit(v).alias(k) for k, v in sorted(facts.items())), F.struct(*counts.columns).alias("audit"))).alias("manifest"))

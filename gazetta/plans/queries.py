@@ -64,8 +64,7 @@ def keyword_parts(spark, d):
 @query
 def facet_options(spark, d):
     feed = browse.visible(feed_orders(spark, d), ASOF)
-    every = [browse.facet_options(feed, f).select(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in browse.FACETS]
-    return every[0].unionByName(every[1]).unionByName(every[2]).unionByName(every[3])
+    return browse.all_facets(feed)
 
 
 def _sorted(mode: str) -> Query:
@@ -152,19 +151,19 @@ def html_escape(spark, d):
 
 @query
 def html_title_h1(spark, d):
-    tree = table(spark, d, "pages").select("page_id", html.nodes("html").alias("tree"))
+    tree = table(spark, d, "pages").select("page_id", html.nodes("html", "title", "h1").alias("tree"))
     return tree.select("page_id", F.size(html.with_tag(F.col("tree"), "title")).alias("titles"), html.first_text(html.with_tag(F.col("tree"), "h1")).alias("h1"))
 
 
 @query
 def html_links(spark, d):
-    tree = table(spark, d, "pages").select("page_id", html.with_tag(html.nodes("html"), "a").alias("links"))
+    tree = table(spark, d, "pages").select("page_id", html.nodes("html", "a").alias("links"))
     return tree.select("page_id", F.posexplode("links").alias("pos", "a")).select("page_id", "pos", "a.href")
 
 
 @query
 def html_links_resolved(spark, d):
-    tree = table(spark, d, "pages").select("page_id", "url", html.with_tag(html.nodes("html"), "a").alias("links"))
+    tree = table(spark, d, "pages").select("page_id", "url", html.nodes("html", "a").alias("links"))
     return tree.select("page_id", "url", F.posexplode("links").alias("pos", "a")).select("page_id", "pos", urls.resolved("a.href", "url").alias("target"))
 
 
@@ -286,7 +285,7 @@ def partition_split(spark, d):
 @query
 def merge_union(spark, d):
     feed = feed_orders(spark, d)
-    kept, fresh = feed.where(F.col("rec_no") % 4 != 0), feed.where((F.col("rec_no") % 4 == 0) & (F.col("rec_no") % 8 == 0))
+    kept, fresh = feed.where("work_pattern <> 'P'"), feed.where("work_pattern = 'P'")
     return reconcile.merged(kept, fresh).select("job_reference", "organization")
 
 
@@ -297,7 +296,7 @@ def feed_lines(spark, d):
 
 @query
 def semi_membership(spark, d):
-    part = table(spark, d, "part").where(F.col("p_partkey") % 10 == 0).select(F.col("p_partkey").alias("l_partkey"))
+    part = table(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))
     return table(spark, d, "lineitem").join(part, "l_partkey", "left_semi").groupBy("l_partkey").agg(F.count("*").alias("n"))
 
 
@@ -307,16 +306,32 @@ def anti_unmatched(spark, d):
     return table(spark, d, "customer").join(orders, "c_custkey", "left_anti").select("c_custkey")
 
 
+def _shared_routes(feed):
+    """Links of several rows stand for registered boards."""
+    return browse.link_counts(feed).where("n > 1").select(F.col("url").alias("apply_url"))
+
+
+@query
+def source_counts(spark, d):
+    decisions = table(spark, d, "labels").join(table(spark, d, "documents").select("doc_id", F.col("source").alias("source_id")), "doc_id").select("source_id", F.when(F.col("quality") == 1, "include").otherwise("exclude").alias("outcome"))
+    return reconcile.source_counts(table(spark, d, "documents").select(F.col("source").alias("source_id")), decisions)
+
+
+@query
+def baseline_guard(spark, d):
+    return reconcile.baseline_violations(feed_orders(spark, d).withColumn("date_checked", F.when(F.col("work_pattern") == "P", "1996-06-14").otherwise(F.col("date_checked"))), "1996-06-15")
+
+
 @query
 def audit_counts(spark, d):
     feed = feed_orders(spark, d).withColumn("job_summary", F.when(F.col("rec_no") % 6 == 0, " ").otherwise("x"))
-    return reconcile.audit(feed, feed.where("rec_no < 40").select("apply_url"))
+    return reconcile.audit(feed, _shared_routes(feed))
 
 
 @query
 def inherited_exceptions(spark, d):
     feed = feed_orders(spark, d).withColumn("job_summary", F.when(F.col("rec_no") % 6 == 0, " ").otherwise("x"))
-    return reconcile.inherited_exceptions(feed, feed.where("rec_no < 40").select("apply_url")).select("job_reference", "shared_apply_url", "blank_summary")
+    return reconcile.inherited_exceptions(feed, _shared_routes(feed)).select("job_reference", "shared_apply_url", "blank_summary")
 
 
 @query
@@ -360,7 +375,7 @@ def run_outcome(spark, d):
 
 @query
 def run_counters(spark, d):
-    events = table(spark, d, "events").select(F.col("user_id").alias("source_id"), F.when(F.col("event_type") == "view", "DETAIL_COMPLETE").otherwise("LIST_ONLY").alias("status"))
+    events = table(spark, d, "events").select(F.col("user_id").alias("source_id"), F.when(F.col("event_type") == "view", "DETAIL_COMPLETE").otherwise("CAPTURED").alias("status"))
     return lifecycle.counters(events)
 
 
@@ -431,7 +446,7 @@ def partition_replace(spark, d):
 @query
 def reuse_details(spark, d):
     listed = table(spark, d, "documents").select(F.col("doc_id").cast("string").alias("detail_url"))
-    old = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("detail_url"), F.when(F.col("quality") == 1, "DETAIL_COMPLETE").otherwise("LIST_ONLY").alias("status"))
+    old = table(spark, d, "labels").select(F.col("doc_id").cast("string").alias("detail_url"), F.when(F.col("quality") == 1, "DETAIL_COMPLETE").otherwise("CAPTURED").alias("status"))
     return lifecycle.reused(listed, old).select("detail_url", "remains")
 
 

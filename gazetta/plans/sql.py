@@ -60,7 +60,7 @@ DECISIONS = """dec as (select doc_id as identity, case when quality = 1 then 'in
   doc_id % 11 = 0 as unreasoned, doc_id % 13 = 0 as holes, doc_id % 5 = 0 as blank, case when doc_id % 7 <> 0 then toxic = 1 end as shared from labels)"""
 RUNS = f"""runs as (select user_id as source_id, {STATE}[user_id % 6 + 1] as status, user_id % 6 <> 0 as started, user_id % 5 <> 0 as finished,
   case when user_id % 4 = 0 then 0 else count(*) end as n, user_id % 2 = 0 as done, count(*) filter (event_type = 'error') > 3 as limited, user_id % 7 = 0 as failed from events group by user_id)"""
-AUDITED = f"{FEED_ORDERS}, told as (select feed.*, rec_no % 6 = 0 as blank, exists (select 1 from feed f where f.rec_no < 40 and f.apply_url = feed.apply_url) as shared from feed)"
+AUDITED = f"{FEED_ORDERS}, told as (select feed.*, rec_no % 6 = 0 as blank, apply_url in (select trim(apply_url) from feed where trim(apply_url) <> '' group by 1 having count(*) > 1) as shared from feed)"
 RUN_RULES = {
     "not_started_with_progress": "status = 'NOT_STARTED' and (started or finished or n <> 0 or done)",
     "running_not_started": "status = 'RUNNING' and not started",
@@ -135,9 +135,14 @@ from (select distinct doc_id from documents) d full outer join (select doc_id, c
     "decision_include": f"with {DECISIONS} select identity from dec where outcome = 'include'",
     "decision_exclude": f"with {DECISIONS} select identity from dec where outcome = 'exclude'",
     "partition_split": f"""with {PAGE_BASE} select rec_no, case when host = 'tionsh.example.net' then 's0' when host = 'ththre.example.com' and (organization = 'en' or contains(apply_url, '/fr/')) then 's1' when host = 'therha.example.com' then 's2' end as source_id from base""",
-    "merge_union": f"with {FEED_ORDERS} select job_reference, organization from feed where rec_no % 4 <> 0 or rec_no % 8 = 0",
+    "keyword_parts": "select p_partkey from part where contains(lower(coalesce(p_name, '')), 'al') or contains(lower(coalesce(p_brand, '')), 'al') or contains(lower(coalesce(p_type, '')), 'al')",
+    "source_counts": """select source_id, coalesce(max(b), 0) as baseline_rows, coalesce(max(f), 0) as fresh_rows, coalesce(max(x), 0) as excluded from (
+  select source as source_id, count(*) as b, null as f, null as x from documents where source is not null group by 1 union all
+  select source, null, count(*) filter (quality = 1), count(*) filter (quality is distinct from 1) from labels join documents using (doc_id) group by 1) group by 1""",
+    "baseline_guard": "select o_orderkey as rec_no, 'other_day' as code from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey where o_orderstatus = 'P'",
+    "merge_union": f"with {FEED_ORDERS} select job_reference, organization from feed",
     "feed_lines": f"with {FEED_ORDERS} select concat_ws(',', " + ", ".join(SUMMARY_COLUMNS).replace("salary", "case when contains(salary, ',') then '\"' || salary || '\"' else salary end") + ") as line from feed",
-    "semi_membership": "select l_partkey, count(*) as n from lineitem where l_partkey in (select p_partkey from part where p_partkey % 10 = 0) group by l_partkey",
+    "semi_membership": "select l_partkey, count(*) as n from lineitem where l_partkey in (select p_partkey from part where p_size <= 25) group by l_partkey",
     "anti_unmatched": "select c_custkey from customer where not exists (select 1 from orders where o_custkey = c_custkey)",
     "audit_counts": f"with {AUDITED} select count(*) as total_rows, count(*) filter (not shared) as job_specific_apply_urls, count(*) filter (shared) as shared_apply_urls, count(*) filter (not blank) as nonblank_summaries, count(*) filter (blank) as blank_summaries from told",
     "inherited_exceptions": f"with {AUDITED} select job_reference, shared as shared_apply_url, blank as blank_summary from told where shared or blank",
