@@ -19,7 +19,10 @@ def ranked(df: DataFrame, keys: list[tuple[Column, bool]], name: str = "rank") -
     dealt = df.withColumns({c: k for c, (k, _) in zip(columns, keys, strict=True)})
     order = [F.col(c).desc() if down else F.col(c).asc() for c, (_, down) in zip(columns, keys, strict=True)]
     if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="gazetta-"))
+        folder = spark.conf.get("spark.checkpoint.dir", None)
+        if not folder and spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="gazetta-"))
     dealt = dealt.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()).checkpoint()
     counts = dealt.groupBy("_range").agg(F.count("*").alias("n"))
     before = counts.withColumn("_before", F.coalesce(F.sum("n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("_range", "_before")
