@@ -129,6 +129,10 @@ select 'salary' as field, organization, n::int as n from g where n >= 3 and e <>
     "finding_report": f"""with {REPEATED}, {DOC_FLAGS}, g as (select {FOLD.format(c="organization")} as e, count(*) as c, bool_and({CLEAN.format(c="job_summary")} = '') as blank from docs group by 1)
 select true as advisory_only, (select count(*) from documents) as row_count, (select count(*) from rep) + (select count(*) filter (blank) + count(*) from g where c >= 3 and e <> '')
   + (select coalesce(sum(len(string_split(flags, ','))), 0)::bigint from flagged where flags <> '') as finding_count""",
+    "quality_findings": f"""with {REPEATED}, {DOC_FLAGS}, g as (select {FOLD.format(c="organization")} as e, count(*) as c, bool_and({CLEAN.format(c="job_summary")} = '') as blank from docs group by 1),
+  every as (select unnest(string_split(flags, ',')) as code, 'job_summary' as field from flagged where flags <> '' union all select 'repeated_summary', 'job_summary' from rep
+  union all select 'employer_field_entirely_blank', 'salary' from g where c >= 3 and e <> '' union all select 'employer_field_entirely_blank', 'job_summary' from g where c >= 3 and e <> '' and blank)
+select code, field, case code {" ".join(f"when '{c}' then '{r}'" for c, r in flags.REASONS.items())} else upper(code[1]) || lower(replace(code[2:], '_', ' ')) end as reason, count(*) as n from every group by code, field""",
     "exact_cover_gaps": """select coalesce(d.doc_id, l.doc_id) as identity, case when d.doc_id is null then 'unknown' when l.doc_id is null then 'missing' else 'repeated' end as problem
 from (select distinct doc_id from documents) d full outer join (select doc_id, count(*) as n from labels group by doc_id) l on d.doc_id = l.doc_id where d.doc_id is null or l.doc_id is null or n > 1""",
     "decision_violations": f"with {DECISIONS} select identity, unnest({rules_sql(DECISION_RULES)}) as code from dec",
