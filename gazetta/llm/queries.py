@@ -11,11 +11,14 @@ from . import sql
 from .ann import nearest
 from .chat import format_tree, read_back
 from .decontam import contaminated
+from .importance import resample
 from .jaccard import jaccard_classes
 from .langid import identify
 from .mixing import score
 from .packing import pack
+from .pii import report as pii_report
 from .quality import classify
+from .repair import damaged, repairs
 from .secrets import report
 from .urls import judge
 
@@ -78,6 +81,18 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge(table(spark, sf_dir, "pages"), good)
 
 
+def op11_structure_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repairs(damaged(table(spark, sf_dir, "conversations")))
+
+
+def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_report(table(spark, sf_dir, "documents"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: v for k, v in globals().items() if k.startswith("op") and k[2].isdigit()}
 
