@@ -42,6 +42,13 @@ def expired(date: Column | str, time: Column | str, today: Column, now: Column)
     return F.coalesce(is_date(date) & is_time(time) & due, F.lit(False))
 
 
+def closes(date: Column | str, time: Column | str) -> Column:
+    """The wall-clock minute `YYYY-MM-DDTHH:MM` from which a row is past: its own, or the next day's first. Null if it never is."""
+    d, t = filled(date), filled(time)
+    own = F.when(t != "", F.concat_ws("T", d, t)).otherwise(F.concat(F.date_format(F.date_add(as_date(date), 1), "yyyy-MM-dd"), F.lit("T00:00")))
+    return F.when(is_date(date) & is_time(time), own)
+
+
 def closing_text(date: Column | str, time: Column | str | None = None) -> Column:
     day = F.date_format(as_date(date), "d MMM yyyy")
     if time is not None:
