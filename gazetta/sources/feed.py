@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import text, urls
+from gazetta.sources import lines
 
 #: The columns of the two feed contracts, in order.
 LEGACY_COLUMNS = ["organization", "employer_type", "job_title", "job_area", "location", "location_area", "closing_date", "closing_time", "contract_type", "work_pattern", "salary", "apply_url", "job_reference", "date_checked", "source_url"]
@@ -47,6 +48,16 @@ def read_bulk(spark: SparkSession, path: str, multiline: bool = True) -> DataFra
     return rows.where(F.col("_corrupt_record").isNotNull() | (F.concat(*SUMMARY_COLUMNS) != ""))
 
 
+def read_numbered(spark: SparkSession, path: str) -> DataFrame:
+    """All records of feed files with the record numbers that `parse_strict` gives them, read by many tasks to a file.
+
+    (path, rec_no, columns, problem) and the feed's columns. Every record with a problem is told, where the strict parser stops at the first.
+    """
+    rows = lines.records(spark, path, [LEGACY_COLUMNS, SUMMARY_COLUMNS])
+    values = (F.coalesce(F.get("fields", F.lit(k)), F.lit("")).alias(c) for k, c in enumerate(SUMMARY_COLUMNS))
+    return rows.select(F.col("file").alias("path"), "rec_no", F.when(F.col("fields").isNotNull(), F.size("fields")).alias("columns"), "problem", *values)
+
+
 def parse_strict(files: DataFrame) -> DataFrame:
     """Every record of strictly parsed feed files, with its record number (blank ones counted), sequence number and problem.
 
@@ -124,6 +135,18 @@ def read_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(f"{schema}, _corrupt_record string").json(path, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
 
 
+def read_numbered_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON lines as in `read_lines`, each with its `file` and `line_no`, in which blank lines count; broken lines are told by their true number."""
+    rows = lines.numbered_lines(spark, path).where(~text.blank("value"))
+    parsed = F.from_json("value", f"{schema}, _corrupt_record string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"})
+    return rows.select("file", "line_no", parsed.alias("x")).select("file", "line_no", "x.*")
+
+
+def broken_lines(rows: DataFrame) -> DataFrame:
+    """(file, n, first_line) of files with broken lines, from what `read_numbered_lines` gives."""
+    return rows.where("_corrupt_record is not null").groupBy("file").agg(F.count("*").alias("n"), F.min("line_no").alias("first_line"))
+
+
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A state table of JSON lines, empty where nothing is stored yet."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
