@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions import text, urls
+from gazetta.sources.html import page_text
+from gazetta.sources.lines import shared_folder
 
 #: States of a run and of a candidate.
 ENDED = ("OK", "EMPTY", "PARTIAL", "ERROR")
@@ -16,8 +18,8 @@ CHALLENGES = ("complete the security check", "verify you are human", "access den
 BLOCKED = r"(?i)possible security violation|E0227SECURITY"
 
 
-def run_violations(runs: DataFrame) -> DataFrame:
-    """Rows (source_id, code), one for each state rule that a run breaks."""
+def broken_rules() -> Column:
+    """The codes of the state rules that a run breaks."""
     s, done, n = F.col("status"), F.coalesce("normal_collection_completed", F.lit(False)), F.coalesce("candidate_count", F.lit(0))
     started, finished = text.filled("started_at") != "", text.filled("finished_at") != ""
     limited, failed = ~text.blank("limitation"), ~text.blank("error")
@@ -36,8 +38,12 @@ def run_violations(runs: DataFrame) -> DataFrame:
         "partial_without_limitation": (s == "PARTIAL") & ~limited,
         "error_without_text": (s == "ERROR") & ~failed,
     }
-    broken = F.array_compact(F.array(*(F.when(test, F.lit(code)) for code, test in rules.items())))
-    return runs.select("source_id", F.explode(broken).alias("code"))
+    return F.array_compact(F.array(*(F.when(test, F.lit(code)) for code, test in rules.items())))
+
+
+def run_violations(runs: DataFrame) -> DataFrame:
+    """Rows (source_id, code), one for each state rule that a run breaks."""
+    return runs.select("source_id", F.explode(broken_rules()).alias("code"))
 
 
 def transition_allowed(before: Column, after: Column) -> Column:
@@ -50,6 +56,37 @@ def transitions(history: DataFrame, key: str = "source_id", order: tuple[str, ..
     return history.withColumn("before", before).withColumn("allowed", F.coalesce(transition_allowed(F.col("before"), F.col("status")), F.lit(False)))
 
 
+def folded_states(history: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("at",), values: bool = False) -> DataFrame:
+    """The history with the state that each run has `before` a row, and whether the row is `accepted`.
+
+    A rejected step leaves the state as it was, so it does not decide about later ones. States only go forward: a run's
+    accepted rows are its first NOT_STARTED, the first RUNNING behind that and the first end behind that. So they are three minima,
+    which combine before they are shuffled, and no run is sorted or gathered. With `values` rows hold a run's values, and one that
+    breaks a state rule is rejected as well. Rows of one place go by status.
+    """
+    place = F.struct(*order, "status")
+    rows = history.withColumn("_place", place).withColumn("_fit", F.size(broken_rules()) == 0 if values else F.lit(True))
+    marks = None
+    for k, states in enumerate((("NOT_STARTED",), ("RUNNING",), ENDED)):
+        some = rows.where(F.col("status").isin(*states) & F.col("_fit")).select(key, "_place")
+        if marks is None:
+            marks = some.groupBy(key).agg(F.min("_place").alias("_m0"))
+        else:
+            later = some.join(marks.select(key, f"_m{k - 1}"), key).where(F.col("_place") > F.col(f"_m{k - 1}")).groupBy(key).agg(F.min("_place").alias(f"_m{k}"))
+            marks = marks.join(later, key, "left")
+    end = F.when(F.col("_place") > F.col("_m2"), F.col("_m2")["status"])  # the last field of a place
+    before = F.coalesce(end, F.when(F.col("_place") > F.col("_m1"), "RUNNING"), F.when(F.col("_place") > F.col("_m0"), "NOT_STARTED"))
+    accepted = F.col("_fit") & F.coalesce(F.col("_place").isin(F.col("_m0"), F.col("_m1"), F.col("_m2")), F.lit(False))
+    out = rows.join(marks, key, "left").withColumn("before", before).withColumn("accepted", F.coalesce(accepted, F.lit(False)))
+    return out.select(*history.columns, "before", "accepted")
+
+
+def final_states(folded: DataFrame, key: str = "source_id", order: tuple[str, ...] = ("at",)) -> DataFrame:
+    """(key, status, accepted, rejected): the state that each run has in the end."""
+    last = F.max(F.when(F.col("accepted"), F.struct(*order, "status")))["status"]
+    return folded.groupBy(key).agg(last.alias("status"), F.count_if("accepted").alias("accepted"), F.count_if(~F.col("accepted")).alias("rejected"))
+
+
 def outcome(complete: Column, candidates: Column) -> Column:
     some = candidates > 0
     return F.when(complete & some, "OK").when(complete, "EMPTY").when(some, "PARTIAL").otherwise("ERROR")
@@ -104,23 +141,31 @@ def page_numbers(edges: DataFrame, start: DataFrame, budget: int = 100) -> DataF
 
     `edges` has page_url, next_url and ambiguous, as `next_pages` gives them. Where a walk cannot go on although there is a next link, its
     last page says why: `ambiguous`, `other site`, `repeated page` or `budget`.
+
+    Links are doubled: a round knows the pages within 2**k steps and where 2**k steps lead from each page, so log2(budget)
+    rounds reach all, each one a join and a minimum, written so that the next begins from a table. A page that a walk comes back to keeps its first step.
     """
-    spark = edges.sparkSession
+    folder = shared_folder(edges.sparkSession, "pages")
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return df.sparkSession.read.parquet(f"{folder}/{name}")
+
+    ambiguous, target = F.coalesce("ambiguous", F.lit(False)), F.col("next_url")
+    leaves = urls.authority("next_url") != urls.authority("page_url")
     links = edges.select("page_url", "next_url", "ambiguous")
-    keep = lambda x: x.checkpoint() if spark.sparkContext.getCheckpointDir() else x.cache()
-    front, done = keep(start.select("page_url").distinct().withColumn("step", F.lit(0))), None
-    seen = front.select(F.col("page_url").alias("known"))
-    for step in range(budget):
-        ahead = front.join(links, "page_url", "left").join(seen.distinct(), F.col("next_url") == F.col("known"), "left")
-        why = F.when(F.coalesce("ambiguous", F.lit(False)), "ambiguous").when(F.col("next_url").isNull(), F.lit(None)).when(urls.authority("next_url") != urls.authority("page_url"), "other site").when(F.col("known").isNotNull(), "repeated page")
-        ahead = keep(ahead.withColumn("problem", why if step < budget - 1 else F.coalesce(why, F.when(F.col("next_url").isNotNull(), "budget"))))
-        rows = ahead.select("page_url", "step", "problem")
-        done = rows if done is None else done.unionByName(rows)
-        front = keep(ahead.where("next_url is not null and problem is null").select(F.col("next_url").alias("page_url")).distinct().withColumn("step", F.lit(step + 1)))
-        if front.isEmpty():
-            break
-        seen = seen.unionByName(front.select(F.col("page_url").alias("known")))
-    return done
+    hop = kept(links.where(target.isNotNull() & ~ambiguous & ~F.coalesce(leaves, F.lit(False))).select("page_url", F.col("next_url").alias("to")).distinct(), "hop-0")
+    seen = kept(start.select("page_url").distinct().withColumn("step", F.lit(0)), "seen-0")
+    rounds = max(0, (budget - 1).bit_length())
+    for k in range(rounds):
+        far = seen.join(hop, "page_url").select(F.col("to").alias("page_url"), (F.col("step") + (1 << k)).alias("step")).where(F.col("step") < budget)
+        seen = kept(seen.unionByName(far).groupBy("page_url").agg(F.min("step").alias("step")), f"seen-{k + 1}")
+        if k < rounds - 1:
+            hop = kept(hop.join(hop.select(F.col("page_url").alias("to"), F.col("to").alias("_to")), "to").select("page_url", F.col("_to").alias("to")), f"hop-{k + 1}")
+    known = seen.select(F.col("page_url").alias("next_url"), F.col("step").alias("_known"))
+    ahead = seen.join(links, "page_url", "left").join(known, "next_url", "left")
+    why = F.when(ambiguous, "ambiguous").when(target.isNull(), F.lit(None)).when(leaves, "other site").when(F.col("_known") <= F.col("step"), "repeated page").when(F.col("step") == budget - 1, "budget")
+    return ahead.select("page_url", "step", why.alias("problem"))
 
 
 def id_mismatches(listed: DataFrame, detailed: DataFrame, key: str = "identity") -> DataFrame:
@@ -153,6 +198,61 @@ def stale_checkpoints(runs: DataFrame, checkpoints: DataFrame, registry: DataFra
     return both.select("source_id", F.explode(F.array_compact(F.array(*(F.when(t, F.lit(c)) for c, t in rules.items())))).alias("code"))
 
 
+def resume_plan(registry: DataFrame, runs: DataFrame, candidates: DataFrame, checkpoints: DataFrame) -> DataFrame:
+    """(source_id, action, problem): what a resumed collection does with each source: `skip`, `collect` or `refuse`.
+
+    `checkpoints` has source_id and content, the JSON text as it is stored. A finished source is skipped only if as many candidates are
+    stored as it counted and its checkpoint says that its list was complete; evidence that contradicts the registry or itself is refused.
+    """
+    doc = F.try_parse_json("content")
+    told = lambda name, kind="string": F.try_variant_get("doc", f"$.{name}", kind)
+    have = checkpoints.select("source_id", doc.alias("doc"), F.lit(True).alias("stored")).select(
+        "source_id", "stored", F.coalesce(F.schema_of_variant("doc").startswith("OBJECT"), F.lit(False)).alias("object"), told("source_id").alias("c_source"), told("registry_id").alias("c_registry"),
+        told("registry_schema_version", "int").alias("c_version"), told("fixed_route").alias("c_route"), F.coalesce(told("enumeration_complete", "boolean"), F.lit(False)).alias("enumerated"),
+    )
+    stored = candidates.groupBy("source_id").agg(F.count("*").alias("n"))
+    rows = registry.select("source_id", "registry_id", "schema_version", "fixed_route").join(runs.select("source_id", "status", "candidate_count"), "source_id", "left").join(have, "source_id", "left").join(stored, "source_id", "left")
+    there, finished = F.coalesce("stored", F.lit(False)), F.coalesce(F.col("status").isin("OK", "EMPTY"), F.lit(False))
+    agrees = (F.coalesce("n", F.lit(0)) == F.coalesce("candidate_count", F.lit(0))) & F.coalesce("enumerated", F.lit(False))
+    problem = (
+        F.when(there & ~F.col("object"), "checkpoint_unreadable").when(F.col("c_source") != F.col("source_id"), "source_mismatch").when((F.col("c_registry") != F.col("registry_id")) | (F.col("c_version") != F.col("schema_version")), "registry_mismatch")
+        .when(F.col("c_route") != F.col("fixed_route"), "route_changed").when((F.col("status") == "RUNNING") & ~there, "running_without_checkpoint").when(finished & ~agrees, "finished_disagrees")
+    )
+    return rows.select("source_id", F.when(problem.isNotNull(), "refuse").when(finished, "skip").otherwise("collect").alias("action"), problem.alias("problem"))
+
+
+def read_details(candidates: DataFrame, fetches: DataFrame, stop_after: int | None = None) -> DataFrame:
+    """(source_id, detail_url, place, result): how far the details of each source are read.
+
+    `candidates` has source_id, detail_url, place (from 0) and status, `fetches` detail_url, http_status, html and error. A page that access is
+    withheld to (401, 403 or a security check) ends its source: later details are `unread`. Any other error is `failed` and the next
+    detail is read. Complete details are `reused`. `stop_after` ends every source at that place. The place of the end is a minimum that
+    combines before it is shuffled, so a source of very many details needs no order.
+    """
+    one = fetches.groupBy("detail_url").agg(F.min_by(F.struct("http_status", "html", "error"), F.struct("http_status", "error")).alias("f"))
+    rows = candidates.select("source_id", "detail_url", "place", "status").join(one, "detail_url", "left").select("*", F.col("f.http_status").alias("code"), F.col("f.html").alias("html"), text.filled("f.error").alias("error")).drop("f")
+    withheld = F.coalesce(F.col("code").isin(401, 403), F.lit(False)) | ((F.col("error") == "") & F.coalesce(F.col("code") < 400, F.lit(False)) & withheld_page("html"))
+    reused_ = F.coalesce(F.col("status") == "DETAIL_COMPLETE", F.lit(False))
+    failed = F.col("code").isNull() | (F.col("code") >= 400) | (F.col("error") != "")
+    result = F.when(reused_, "reused").when(withheld, "withheld").when(failed, "failed").otherwise("read")
+    rows = rows.select("source_id", "detail_url", "place", result.alias("result"))
+    ends = rows.where("result = 'withheld'").groupBy("source_id").agg(F.min("place").alias("_end"))
+    late = F.coalesce(F.col("place") > F.col("_end"), F.lit(False))
+    if stop_after is not None:
+        late |= F.col("place") >= stop_after
+    return rows.join(ends, "source_id", "left").select("source_id", "detail_url", "place", F.when(late, "unread").otherwise(F.col("result")).alias("result"))
+
+
+def collected(details: DataFrame, lists: DataFrame) -> DataFrame:
+    """(source_id, listed, detail_complete, failures, status) of each source of `lists` (source_id, enumeration_complete): a run is only complete with its list and without a failure."""
+    n = lambda *results: F.count_if(F.col("result").isin(*results))
+    own = details.groupBy("source_id").agg(F.count("*").alias("listed"), n("read", "reused").alias("detail_complete"), n("withheld", "failed").alias("failures"), n("unread").alias("unread"))
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    both = lists.join(own, "source_id", "left").select("source_id", "enumeration_complete", *(zero(c) for c in ("listed", "detail_complete", "failures", "unread")))
+    complete = F.coalesce("enumeration_complete", F.lit(False)) & (F.col("failures") == 0) & (F.col("unread") == 0)
+    return both.select("source_id", "listed", "detail_complete", "failures", outcome(complete, F.col("listed")).alias("status"))
+
+
 def candidate_violations(candidates: DataFrame) -> DataFrame:
     """Rows (candidate_id, code): missing fields, links or states that a candidate must have."""
     rules = {f"{f}_missing": text.blank(f) for f in ("source_id", "candidate_id", "raw_title")}
@@ -171,5 +271,10 @@ def challenged(html: Column | str) -> Column:
     return found
 
 
+def withheld_page(html: Column | str) -> Column:
+    """Whether a page is a security check by its source or by the text that it shows."""
+    return challenged(html) | challenged(page_text(html))
+
+
 def blocked(page_text: Column | str) -> Column:
     return text.filled(page_text).rlike(BLOCKED)

@@ -13,6 +13,7 @@ from gazetta.plans.ranking import ranked
 from gazetta.plans.views import ASOF, feed_documents, feed_orders, table
 from gazetta.sources import feed as feeds
 from gazetta.sources import html, sinks
+from gazetta.sources.lines import shared_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -386,6 +387,93 @@ def transition_check(spark, d):
     return lifecycle.transitions(steps).select("source_id", "at", "status", "before", "allowed")
 
 
+def _steps(spark, d):
+    """Events as steps of their user's run, many of them illegal."""
+    states = F.array(*(F.lit(s) for s in lifecycle.STATES))
+    return table(spark, d, "events").select(F.col("user_id").alias("source_id"), F.col("event_id").alias("at"), F.element_at(states, ((F.col("event_id") * 5 + F.col("user_id")) % 6 + 1).cast("int")).alias("status"))
+
+
+@query
+def run_fold(spark, d):
+    return lifecycle.folded_states(_steps(spark, d))
+
+
+@query
+def run_final_states(spark, d):
+    return lifecycle.final_states(lifecycle.folded_states(_steps(spark, d)))
+
+
+def _details(spark, d):
+    """Pages as details of their host's list: some are withheld, some fail, some were read before."""
+    k = F.col("page_id")
+    pages = table(spark, d, "pages").select(urls.authority("url").alias("source_id"), k.cast("string").alias("detail_url"), k.alias("place"), F.when(k % 7 == 0, "DETAIL_COMPLETE").otherwise("CAPTURED").alias("status"), "html")
+    code = F.when(k % 37 == 0, 403).when(k % 41 == 0, 500).otherwise(200)
+    shown = F.when(k % 53 == 0, F.concat(F.lit("<p>Verify <b>you</b> are human</p>"), "html")).otherwise(F.col("html"))
+    fetched = pages.where(k % 11 != 0).select("detail_url", F.expr("place as page_id"), "html").select("detail_url", code.alias("http_status"), shown.alias("html"), F.when(k % 43 == 0, "timed out").otherwise("").alias("error"))
+    return lifecycle.read_details(pages, fetched)
+
+
+@query
+def detail_stop_scan(spark, d):
+    return _details(spark, d)
+
+
+@query
+def detail_outcomes(spark, d):
+    lists = table(spark, d, "pages").groupBy(urls.authority("url").alias("source_id")).agg((F.min("page_id") % 3 != 0).alias("enumeration_complete"))
+    return lifecycle.collected(_details(spark, d), lists)
+
+
+@query
+def resume_plan(spark, d):
+    users = table(spark, d, "events").groupBy("user_id").agg(F.count("*").alias("n"))
+    u, name = F.col("user_id"), F.col("user_id").cast("string")
+    states = F.array(*(F.lit(s) for s in lifecycle.STATES))
+    registry = users.select(name.alias("source_id"), F.lit("r").alias("registry_id"), F.lit(1).alias("schema_version"), F.lit("/jobs").alias("fixed_route"))
+    runs = users.where(u % 9 != 0).select(name.alias("source_id"), F.element_at(states, (u % 6 + 1).cast("int")).alias("status"), F.when(u % 4 == 0, 0).otherwise(F.col("n")).alias("candidate_count"))
+    stored = F.to_json(F.struct(F.when(u % 13 == 0, "other").otherwise(name).alias("source_id"), F.when(u % 17 == 0, "old").otherwise("r").alias("registry_id"), F.lit(1).alias("registry_schema_version"), F.when(u % 19 == 0, "/old").otherwise("/jobs").alias("fixed_route"), (u % 3 != 0).alias("enumeration_complete")))
+    checkpoints = users.where(u % 5 != 0).select(name.alias("source_id"), F.when(u % 11 == 0, "[]").when(u % 23 == 0, "{").otherwise(stored).alias("content"))
+    candidates = table(spark, d, "events").select(F.col("user_id").cast("string").alias("source_id"))
+    return lifecycle.resume_plan(registry, runs, candidates, checkpoints)
+
+
+@query
+def page_walk(spark, d):
+    k = F.col("page_id")
+    page = lambda n: F.concat(F.lit("https://h"), (n % 7).cast("string"), F.lit(".org/"), n.cast("string"))
+    ahead = F.when(k % 31 == 30, page(k + 1)).when(k % 23 == 22, page(k - 14)).otherwise(page(k + 7))
+    edges = table(spark, d, "pages").select(page(k).alias("page_url"), ahead.alias("next_url"), (k % 29 == 28).alias("ambiguous"))
+    return lifecycle.page_numbers(edges, table(spark, d, "pages").where("page_id < 7").select(page(k).alias("page_url")), budget=20)
+
+
+@query
+def feed_record_numbers(spark, d):
+    """Documents are written as feed files with blank records between them; how far apart they are read again tells the blank ones."""
+    rows = feed_documents(spark, d)
+    missing = [F.lit("").alias(c) for c in feeds.SUMMARY_COLUMNS if c not in rows.columns]
+    rows = rows.select("*", *missing)
+    first = F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)) == 0
+    k = F.col("job_reference").cast("long")
+    line = F.concat(F.when(first, ",".join(feeds.SUMMARY_COLUMNS) + "\n").otherwise(""), F.repeat(F.lit("\n"), (k % 3).cast("int")), F.concat_ws(",", *(feeds.csv_value(c) for c in feeds.SUMMARY_COLUMNS)))
+    folder = shared_folder(spark, "feed")
+    rows.select(line.alias("value")).write.text(folder)
+    read = feeds.read_numbered(spark, folder)
+    before = F.lag("rec_no", 1, 1).over(Window.partitionBy("path").orderBy("rec_no"))
+    return read.select(F.col("job_reference").cast("long").alias("doc_id"), (F.col("rec_no") - before).alias("gap"), F.sha2("job_summary", 256).alias("sha256"), "problem")
+
+
+@query
+def numbered_lines(spark, d):
+    """Documents' ids as JSON lines with blank lines between them and broken ones among them."""
+    k = F.col("doc_id")
+    line = F.concat(F.repeat(F.lit(" \n"), (k % 3).cast("int")), F.when(k % 10 == 0, F.concat(F.lit("{broken "), k.cast("string"))).otherwise(F.to_json(F.struct(k.alias("id")))))
+    folder = shared_folder(spark, "lines")
+    table(spark, d, "documents").select(line.alias("value")).write.text(folder)
+    read = feeds.read_numbered_lines(spark, folder, "id long")
+    before = F.lag("line_no", 1, 0).over(Window.partitionBy("file").orderBy("line_no"))
+    return read.select(F.coalesce("id", F.regexp_extract("_corrupt_record", "[0-9]+", 0).cast("long")).alias("doc_id"), (F.col("line_no") - before).alias("gap"), F.col("_corrupt_record").isNotNull().alias("broken"))
+
+
 @query
 def latest_per_key(spark, d):
     rows = table(spark, d, "events").select(F.col("user_id").alias("identity"), F.col("event_id").alias("page"), F.lit(0).alias("place"), F.col("event_type").alias("url"), F.col("value").alias("v"))

@@ -86,6 +86,13 @@ REPEATED = f"""{DOC_FEED}, keyed as (select n, {FOLD.format(c="job_summary")} as
 SUMMARY_FLAGS = f"case when {CLEAN.format(c='t')} = '' then '{flags.BLANK}' else {flag_sql(flags.RESIDUE + flags.SUMMARY, 't')} end"
 DOC_FLAGS = f"flagged as (select doc_id, {SUMMARY_FLAGS} as flags from (select doc_id, coalesce(text, '') as t, {N_WORDS.format(c='coalesce(text, chr(32))')} as n from documents))"
 
+STEPS = f"steps as (select user_id as source_id, event_id as at_, {STATE}[(event_id * 5 + user_id) % 6 + 1] as status from events)"
+DETAILS = f"""p as (select page_id as place, {HOST} as source_id, page_id % 7 = 0 as done, page_id % 37 = 0 and page_id % 11 <> 0 as denied, page_id % 53 = 0 and page_id % 11 <> 0 and page_id % 41 <> 0 and page_id % 43 <> 0 as checked,
+  page_id % 11 = 0 or page_id % 41 = 0 or page_id % 43 = 0 as failed from pages),
+r as (select *, case when done then 'reused' when denied or checked then 'withheld' when failed then 'failed' else 'read' end as one from p),
+e as (select source_id, min(place) filter (one = 'withheld') as e from r group by source_id),
+details as (select source_id, place::varchar as detail_url, place, case when place > e then 'unread' else one end as result from r join e using (source_id))"""
+
 SQL = {
     "browse_default": f"""with {VISIBLE}, {COUNTS}, hit as (select vis.*, coalesce(counts.n, 0) as link_count from vis left join counts on u = trim(apply_url)
   where job_area = 'BUILDING' and (contains(lower(job_title), 'urgent') or contains(lower(organization), 'urgent') or contains(lower(job_area), 'urgent') or contains(lower(location), 'urgent') or contains(lower(location_area), 'urgent')))
@@ -176,4 +183,24 @@ select conv_id, coalesce(string_agg(role, ',' order by turn) filter (turn > u an
     "reuse_details": "select d.doc_id::varchar as detail_url, coalesce(quality <> 1, true) as remains from documents d left join (select distinct on (doc_id) doc_id, quality from labels) l using (doc_id)",
     "previous_heading": "select conv_id, turn, max(case when role = 'system' then turn end) over (partition by conv_id order by turn rows between unbounded preceding and 1 preceding) as above from conversations",
     "bounded_fields": "select doc_id, trim(coalesce(source, '')) as contract, trim(coalesce(lang, '')) as location, 7 as number from documents",
+    "run_fold": f"""with {STEPS}, a as (select *, min(at_) filter (status = 'NOT_STARTED') over (partition by source_id) as m0 from steps),
+b as (select *, min(at_) filter (status = 'RUNNING' and at_ > m0) over (partition by source_id) as m1 from a), c as (select *, min(at_) filter (status in {listed(ENDED)} and at_ > m1) over (partition by source_id) as m2 from b)
+select source_id, at_ as "at", status, case when at_ > m2 then max(status) filter (at_ = m2) over (partition by source_id) when at_ > m1 then 'RUNNING' when at_ > m0 then 'NOT_STARTED' end as before, coalesce(at_ in (m0, m1, m2), false) as accepted from c""",
+    "run_final_states": f"""with {STEPS}, f as (select source_id, count(*) as n, list_reduce(list_prepend('', list(status order by at_)), lambda s, x: case when (s = '' and x = 'NOT_STARTED') or (s = 'NOT_STARTED' and x = 'RUNNING') or (s = 'RUNNING' and x in {listed(ENDED)}) then x else s end) as s from steps group by source_id)
+select source_id, nullif(s, '') as status, (case s when '' then 0 when 'NOT_STARTED' then 1 when 'RUNNING' then 2 else 3 end)::bigint as accepted, n - case s when '' then 0 when 'NOT_STARTED' then 1 when 'RUNNING' then 2 else 3 end as rejected from f""",
+    "detail_stop_scan": f"with {DETAILS} select * from details",
+    "detail_outcomes": f"""with {DETAILS}, l as (select {HOST} as source_id, min(page_id) % 3 <> 0 as whole from pages group by 1)
+select source_id, count(*) as listed, count(*) filter (result in ('read', 'reused')) as detail_complete, count(*) filter (result in ('withheld', 'failed')) as failures,
+  case when any_value(whole) and count(*) filter (result in ('withheld', 'failed', 'unread')) = 0 then 'OK' else 'PARTIAL' end as status from l join details using (source_id) group by source_id""",
+    "resume_plan": f"""with u as (select user_id as u, count(*) as n, user_id % 5 <> 0 as there, case when user_id % 9 <> 0 then {STATE}[user_id % 6 + 1] end as status, case when user_id % 4 = 0 then 0 else count(*) end as told from events group by user_id),
+p as (select *, case when there and (u % 11 = 0 or u % 23 = 0) then 'checkpoint_unreadable' when there and u % 13 = 0 then 'source_mismatch' when there and u % 17 = 0 then 'registry_mismatch' when there and u % 19 = 0 then 'route_changed'
+  when status = 'RUNNING' and not there then 'running_without_checkpoint' when status in ('OK', 'EMPTY') and not (n = told and there and u % 3 <> 0) then 'finished_disagrees' end as problem from u)
+select u::varchar as source_id, case when problem is not null then 'refuse' when status in ('OK', 'EMPTY') then 'skip' else 'collect' end as action, problem from p""",
+    "page_walk": """with recursive e as (select page_id as k, case when page_id % 31 = 30 then page_id + 1 when page_id % 23 = 22 then page_id - 14 else page_id + 7 end as t, page_id % 29 = 28 as amb from pages),
+w as (select page_id as k, 0 as step, [page_id] as path from pages where page_id < 7 union all
+  select e.t, step + 1, list_append(path, e.t) from w join e on w.k = e.k where not amb and e.t % 7 = e.k % 7 and not list_contains(path, e.t) and step + 1 < 20)
+select 'https://h' || w.k % 7 || '.org/' || w.k as page_url, step, case when amb then 'ambiguous' when e.k is null then null when e.t % 7 <> e.k % 7 then 'other site' when list_contains(path, e.t) then 'repeated page' when step = 19 then 'budget' end as problem
+from w left join e on w.k = e.k""",
+    "feed_record_numbers": "select doc_id, 1 + doc_id % 3 as gap, sha256(coalesce(text, '')) as sha256, null::varchar as problem from documents",
+    "numbered_lines": "select doc_id, 1 + doc_id % 3 as gap, doc_id % 10 = 0 as broken from documents",
 }
