@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+from functools import lru_cache
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -28,9 +31,23 @@ def collapsed(c: Column | str) -> Column:
     return F.trim(F.regexp_replace(filled(c), f"{SPACE}+", " "))
 
 
+@lru_cache(1)
+def fold_table() -> tuple[str, str, dict[str, str]]:
+    """Full case folding by the Unicode data of this Python: letters with one letter for them, those letters, and letters with several."""
+    folds = ((chr(k), chr(k).casefold()) for k in range(sys.maxunicode + 1) if not 0xD800 <= k < 0xE000)
+    changed = [(c, f) for c, f in folds if c != f]
+    one = [(c, f) for c, f in changed if len(f) == 1]
+    return "".join(c for c, _ in one), "".join(f for _, f in one), {c: f for c, f in changed if len(f) > 1}
+
+
 def folded(c: Column | str) -> Column:
-    """Case folding: lower case with the sharp s spelled out."""
-    return F.replace(F.lower(filled(c)), F.lit("ß"), F.lit("ss"))
+    """Full case folding, letter by letter: ASCII by the lower case, all else by the fold table; the few letters that become several only where a text has one."""
+    x = filled(c)
+    letters, other, several = fold_table()
+    table = F.create_map(*(F.lit(v) for pair in several.items() for v in pair))
+    spelled = F.array_join(F.transform(F.regexp_extract_all(x, F.lit("(?s)."), F.lit(0)), lambda k: F.coalesce(F.try_element_at(table, k), k)), "")
+    wide = F.when(x.rlike(f"[{''.join(several)}]"), spelled).otherwise(x)
+    return F.when(F.octet_length(x) == F.char_length(x), F.lower(x)).otherwise(F.translate(wide, letters, other))
 
 
 def words(c: Column | str) -> Column:

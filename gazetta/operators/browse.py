@@ -63,6 +63,33 @@ def all_facets(feed: DataFrame) -> DataFrame:
     return feed.select(each.alias("x")).where("x.value <> ''").select("x.facet", "x.value").distinct()
 
 
+NEVER = "~"  # behind every closing minute
+
+
+def visible_index(feed: DataFrame, facets: tuple[str, ...] = FACETS) -> DataFrame:
+    """(facet, value, closes, visible): how many rows of each facet value are visible until a closing minute, from the one before on.
+
+    The row with facet and value '' is for all rows. Its size is that of the distinct closing minutes of each value, whatever the feed's;
+    rows are counted before the shuffle, and running sums go over the counts. Counts and facets at any moment come from it without the feed.
+    """
+    rows = feed.where(urls.is_safe("apply_url")).select(F.coalesce(dates.closes("closing_date", "closing_time"), F.lit(NEVER)).alias("closes"), *(text.filled(f).alias(f) for f in facets))
+    each = F.explode(F.array(F.struct(F.lit("").alias("facet"), F.lit("").alias("value")), *(F.struct(F.lit(f).alias("facet"), F.col(f).alias("value")) for f in facets)))
+    counts = rows.select("closes", each.alias("x")).where("x.facet = '' or x.value <> ''").groupBy("x.facet", "x.value", "closes").agg(F.count("*").alias("n"))
+    later = Window.partitionBy("facet", "value").orderBy(F.col("closes").desc()).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return counts.select("facet", "value", "closes", F.sum("n").over(later).alias("visible"))
+
+
+def visible_at(index: DataFrame, *moments: str) -> DataFrame:
+    """(moment, facet, value, visible) at UTC moments, from `visible_index`; values of which nothing is visible are left out."""
+    each = []
+    for asof in moments:
+        today, now = dates.wall_clock(asof)
+        minute = F.concat(today, F.lit("T"), F.lpad(F.floor(now / 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((now % 60).cast("string"), 2, "0"))
+        each.append(F.struct(F.lit(asof).alias("moment"), minute.alias("minute")))
+    asked = index.withColumn("x", F.explode(F.array(*each))).where(F.col("closes") > F.col("x.minute"))
+    return asked.groupBy("x.moment", "facet", "value").agg(F.max("visible").alias("visible"))
+
+
 def order_keys(mode: str) -> list[tuple[Column, bool]]:
     """Sort keys of a mode, as (column, descending); the record number keeps ties in feed order."""
     title, organization = (text.order_text(text.filled(c)) for c in ("job_title", "organization"))

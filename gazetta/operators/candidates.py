@@ -11,6 +11,16 @@ from gazetta.functions import text
 FIELDS = ("source_id", "source_family", "raw_organization", "raw_title", "raw_location", "raw_deadline", "raw_salary", "raw_contract", "raw_work_pattern", "source_reference", "source_platform_id", "list_url", "source_url", "detail_url", "apply_url", "detail_body", "collected_at", "collection_method")
 
 
+def looked_up(rows: DataFrame, registry: DataFrame, strict: bool = True) -> DataFrame:
+    """Rows with their source's columns. A source that the registry lacks ends the job, or else is told in `problem`."""
+    told = registry.withColumn("_known", F.lit(True))
+    both = rows.join(told, "source_id", "left")
+    if strict:
+        why = F.raise_error(F.concat(F.lit("unknown source "), F.coalesce(F.col("source_id").cast("string"), F.lit("null"))))
+        return both.withColumn("source_id", F.when(F.col("_known"), F.col("source_id")).otherwise(why.cast(dict(rows.dtypes)["source_id"]))).drop("_known")
+    return both.withColumn("problem", F.when(F.col("_known").isNull(), "unknown source")).drop("_known")
+
+
 def from_cards(cards: DataFrame, sources: DataFrame, at: str, method: str) -> DataFrame:
     """A captured candidate of each card.
 
@@ -25,7 +35,7 @@ def from_cards(cards: DataFrame, sources: DataFrame, at: str, method: str) -> Da
         "detail_url": card["url"], "apply_url": card["url"], "detail_body": F.lit(""), "collected_at": F.lit(at), "collection_method": F.lit(method),
     }
     proof = F.create_map(F.lit("href_observed"), F.lit("true"), F.lit("list_text"), F.coalesce(card["text"], F.lit("")))
-    rows = cards.join(sources.select("source_id", "family", "name", "fixed_route"), "source_id")
+    rows = looked_up(cards, sources.select("source_id", "family", "name", "fixed_route"))
     return rows.select("source_id", *(text.filled(told[c]).alias(c) for c in FIELDS[1:]), proof.alias("provenance"), F.lit("CAPTURED").alias("status"))
 
 

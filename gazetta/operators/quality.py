@@ -24,13 +24,13 @@ def row_findings(feed: DataFrame, number: str = "rec_no") -> DataFrame:
     """One finding for each flag of each field, in row and field order."""
     raised = [F.transform(found, _as_finding(f)) for f, found in field_flags(feed, number).items()]
     each = feed.select(F.col(number).alias("n"), F.posexplode(F.flatten(F.array(*raised))).alias("at", "x"))
-    return each.select(F.lit(0).alias("part"), F.col("n").alias("first"), "at", F.col("x.code").alias("code"), F.col("x.field").alias("field"), F.array(F.col("n").cast("int")).alias("row_numbers"), F.lit(None).cast("string").alias("organization"))
+    return each.select(F.lit(0).alias("part"), F.col("n").alias("first"), "at", F.col("x.code").alias("code"), F.col("x.field").alias("field"), F.array(F.col("n").cast("long")).alias("row_numbers"), F.lit(None).cast("string").alias("organization"))
 
 
 def _summary_rows(feed: DataFrame, number: str, least: int) -> DataFrame:
     """(n, summary, role) of rows with a summary of `least` words or more, texts as digests."""
     key = lambda c: text.folded(text.collapsed(c))
-    return feed.where(text.words("job_summary") >= least).select(F.col(number).cast("int").alias("n"), F.sha2(key("job_summary"), 256).alias("summary"), F.sha2(F.concat_ws("\u0001", key("organization"), key("job_title"), key("job_reference")), 256).alias("role"))
+    return feed.where(text.words("job_summary") >= least).select(F.col(number).cast("long").alias("n"), F.sha2(key("job_summary"), 256).alias("summary"), F.sha2(F.concat_ws("\u0001", key("organization"), key("job_title"), key("job_reference")), 256).alias("role"))
 
 
 def _shared_summaries(rows: DataFrame) -> DataFrame:
@@ -52,20 +52,70 @@ def _blank_groups(feed: DataFrame, number: str, least: int, fields: tuple[str, .
     """The rows with their employer, and (employer, organization, x) of each field that is blank in all rows of an employer."""
     fields = tuple(f for f in fields if f in feed.columns)
     rows = feed.withColumn("employer", text.folded(text.collapsed("organization"))).where("employer <> ''")
-    groups = rows.groupBy("employer").agg(F.count("*").alias("rows"), F.min_by("organization", number).alias("organization"), *(F.every(text.blank(f)).alias(f) for f in fields))
-    return rows, groups.where(F.col("rows") >= least).select("employer", "organization", F.explode(F.array_compact(F.array(*(F.when(F.col(f), F.struct(F.lit(k).alias("at"), F.lit(f).alias("field"))) for k, f in enumerate(fields))))).alias("x"))
+    groups = rows.groupBy("employer").agg(F.count("*").alias("rows"), F.min_by("organization", number).alias("organization"), F.min(number).alias("first"), *(F.every(text.blank(f)).alias(f) for f in fields))
+    return rows, groups.where(F.col("rows") >= least).select("employer", "organization", "rows", "first", F.explode(F.array_compact(F.array(*(F.when(F.col(f), F.struct(F.lit(k).alias("at"), F.lit(f).alias("field"))) for k, f in enumerate(fields))))).alias("x"))
 
 
 def blank_employer_fields(feed: DataFrame, number: str = "rec_no", least: int = 3, fields: tuple[str, ...] = ("salary", "job_summary")) -> DataFrame:
     """Fields that are blank in every row of an employer with `least` rows or more."""
     rows, groups = _blank_groups(feed, number, least, fields)
-    numbers = rows.select("employer", F.col(number).cast("int").alias("n")).join(groups.select("employer").distinct(), "employer", "left_semi").groupBy("employer").agg(F.array_sort(F.collect_list("n")).alias("row_numbers"))
+    numbers = rows.select("employer", F.col(number).cast("long").alias("n")).join(groups.select("employer").distinct(), "employer", "left_semi").groupBy("employer").agg(F.array_sort(F.collect_list("n")).alias("row_numbers"))
     found = groups.join(numbers, "employer")
     return found.select(F.lit(2).alias("part"), F.array_min("row_numbers").alias("first"), F.col("x.at").alias("at"), F.lit("employer_field_entirely_blank").alias("code"), F.col("x.field").alias("field"), "row_numbers", "organization")
 
 
+HEAD = ["finding", "part", "first", "at", "code", "field", "organization", "n"]
+
+
+def finding_heads(feed: DataFrame, number: str = "rec_no") -> DataFrame:
+    """One row for each finding: name, place in the report (part, first row, at), code, field, employer, how many rows it has, and reason.
+
+    Heads are counts and minima that combine before they are shuffled, so none grows with its group; `finding_rows` has the rows.
+    """
+    none = F.lit(None).cast("string")
+    each = row_findings(feed, number).select(F.concat_ws(":", "code", "field", "first").alias("finding"), "part", F.col("first").cast("long").alias("first"), "at", "code", "field", none.alias("organization"), F.lit(1).cast("long").alias("n"))
+    groups = _blank_heads(feed, number)
+    if "job_summary" in feed.columns:
+        groups = groups.unionByName(_repeated_heads(_summary_rows(feed, number, 30)))
+    return each.unionByName(groups.select(*HEAD)).withColumn("reason", flags.reason("code"))
+
+
+def finding_rows(feed: DataFrame, number: str = "rec_no") -> DataFrame:
+    """(finding, row_number): the rows of the findings of several rows; those of one row are told by `first` of their head.
+
+    Every row meets its finding by name, so a finding of a third of all rows is as many rows in as many tasks.
+    """
+    rows, groups = _blank_groups(feed, number, 3, ("salary", "job_summary"))
+    spread = F.pmod(F.xxhash64(number), F.lit(SPREAD)).cast("int")
+    copies = F.explode(F.sequence(F.lit(0), F.lit(SPREAD - 1))).alias("part_")
+    heads = groups.select("employer", _blank_name().alias("finding"), copies)
+    out = rows.select("employer", F.col(number).cast("long").alias("row_number"), spread.alias("part_")).join(heads, ["employer", "part_"]).select("finding", "row_number")
+    if "job_summary" in feed.columns:
+        own = _summary_rows(feed, number, 30)
+        shared = _repeated_heads(own).select(F.col("finding").alias("summary"), copies)
+        out = out.unionByName(own.withColumn("part_", F.pmod(F.xxhash64("n"), F.lit(SPREAD)).cast("int")).join(shared, ["summary", "part_"]).select(F.col("summary").alias("finding"), F.col("n").alias("row_number")))
+    return out
+
+
+SPREAD = 16  # tasks that the rows of one group are spread over
+
+
+def _blank_name():
+    return F.sha2(F.concat_ws("\u0001", F.lit("blank"), "employer", "x.field"), 256)
+
+
+def _blank_heads(feed: DataFrame, number: str) -> DataFrame:
+    _, groups = _blank_groups(feed, number, 3, ("salary", "job_summary"))
+    return groups.select(_blank_name().alias("finding"), F.lit(2).alias("part"), F.col("first").cast("long").alias("first"), F.col("x.at").alias("at"), F.lit("employer_field_entirely_blank").alias("code"), F.col("x.field").alias("field"), "organization", F.col("rows").alias("n"))
+
+
+def _repeated_heads(rows: DataFrame) -> DataFrame:
+    groups = rows.groupBy("summary").agg(F.min("role").alias("lo"), F.max("role").alias("hi"), F.min("n").alias("first"), F.count("*").alias("n")).where("lo <> hi")
+    return groups.select(F.col("summary").alias("finding"), F.lit(1).alias("part"), "first", F.lit(0).alias("at"), F.lit("repeated_summary").alias("code"), F.lit("job_summary").alias("field"), F.lit(None).cast("string").alias("organization"), "n")
+
+
 def findings(feed: DataFrame, number: str = "rec_no") -> DataFrame:
-    """All findings in report order: rows and fields first, then repeated summaries, then employers, both by first row."""
+    """All findings in report order, with lists of their rows, for feeds whose groups are small enough for that (else heads and rows): rows and fields first, then repeated summaries, then employers, both by first row."""
     every = row_findings(feed, number).unionByName(repeated_summaries(feed, number)) if "job_summary" in feed.columns else row_findings(feed, number)
     every = every.unionByName(blank_employer_fields(feed, number))
     return every.withColumn("reason", flags.reason("code")).orderBy("part", "first", "at").select(*FINDING)

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gazetta.functions import dates, flags, text, urls
-from gazetta.operators import browse, lifecycle, quality, reconcile
+from gazetta.operators import browse, candidates, lifecycle, quality, reconcile
 from gazetta.plans.ranking import ranked
-from gazetta.plans.views import ASOF, feed_documents, feed_orders, table
+from gazetta.plans.views import ASOF, MOMENTS, feed_documents, feed_orders, table
 from gazetta.sources import feed as feeds
 from gazetta.sources import html, sinks
 from gazetta.sources.lines import shared_folder
@@ -43,6 +43,11 @@ def visible_count(spark, d):
     return browse.visible(feed_orders(spark, d), ASOF).agg(F.count("*").alias("n")).select("n", text.heading(F.col("n")).alias("heading"))
 
 
+@query
+def visible_moments(spark, d):
+    return browse.visible_at(browse.visible_index(feed_orders(spark, d)), *MOMENTS)
+
+
 @query
 def urgency_labels(spark, d):
     today, _ = dates.wall_clock(ASOF)
@@ -228,6 +233,18 @@ def group_all_blank(spark, d):
     return found.select("field", "organization", F.size("row_numbers").alias("n"))
 
 
+@query
+def finding_heads(spark, d):
+    return quality.finding_heads(feed_documents(spark, d)).select("part", "first", "code", "field", "organization", "n", "reason")
+
+
+@query
+def finding_rows(spark, d):
+    feed = feed_documents(spark, d)
+    heads = quality.finding_heads(feed).where("part > 0").select("finding", "first", "code", "field")
+    return quality.finding_rows(feed).join(heads, "finding").select("code", "field", "first", "row_number")
+
+
 @query
 def finding_report(spark, d):
     return quality.report(feed_documents(spark, d))
@@ -295,6 +312,25 @@ def feed_lines(spark, d):
     return feeds.csv_lines(feed_orders(spark, d)).select(F.col("value").alias("line"))
 
 
+@query
+def registry_lookup(spark, d):
+    docs = table(spark, d, "documents").select("doc_id", F.col("source").alias("source_id"))
+    registry = docs.where("source_id is not null and source_id <> 'src1'").select("source_id", F.upper("source_id").alias("name")).distinct()
+    return candidates.looked_up(docs, registry, strict=False).select("doc_id", "name", "problem")
+
+
+@query
+def folded_text(spark, d):
+    return table(spark, d, "documents").select("doc_id", F.sha2(text.folded("text"), 256).alias("sha256"))
+
+
+@query
+def page_access(spark, d):
+    """Pages of which every ninth shows a security check whose words markup and entities part."""
+    shown = F.when(F.col("page_id") % 9 == 0, F.concat(F.lit("<p>Confirm <b>you&#39;re</b> a <i>real</i>\n person</p>"), "html")).when(F.col("page_id") % 9 == 1, F.concat(F.lit("<script>just</script>a <b>moment</b>"), "html")).otherwise(F.col("html"))
+    return table(spark, d, "pages").select("page_id", lifecycle.withheld_page(shown).alias("withheld"))
+
+
 @query
 def semi_membership(spark, d):
     part = table(spark, d, "part").where("p_size <= 25").select(F.col("p_partkey").alias("l_partkey"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from gazetta.functions import flags
 from gazetta.operators.browse import FACETS
 from gazetta.operators.lifecycle import BLOCKED, CHALLENGES, ENDED, STATES
-from gazetta.plans.views import FEED_ORDERS
+from gazetta.plans.views import FEED_ORDERS, MOMENTS
 from gazetta.sources.feed import SUMMARY_COLUMNS
 
 TODAY, NOW = "'1996-06-15'", 10 * 60 + 30
@@ -82,7 +82,7 @@ DECISION_RULES = {
     "summary_reason_missing": "outcome = 'include' and blank",
 }
 REPEATED = f"""{DOC_FEED}, keyed as (select n, {FOLD.format(c="job_summary")} as s, {FOLD.format(c="organization")} || chr(1) || {FOLD.format(c="job_title")} || chr(1) || {FOLD.format(c="job_reference")} as role from docs where {N_WORDS.format(c="job_summary")} >= 30),
-  rep as (select min(n)::int as first_row, count(*)::int as n, string_agg(n::varchar, ',' order by n) as rows from keyed group by s having count(distinct role) > 1)"""
+  rep as (select min(n) as first_row, count(*)::int as n, string_agg(n::varchar, ',' order by n) as rows from keyed group by s having count(distinct role) > 1)"""
 SUMMARY_FLAGS = f"case when {CLEAN.format(c='t')} = '' then '{flags.BLANK}' else {flag_sql(flags.RESIDUE + flags.SUMMARY, 't')} end"
 DOC_FLAGS = f"flagged as (select doc_id, {SUMMARY_FLAGS} as flags from (select doc_id, coalesce(text, '') as t, {N_WORDS.format(c='coalesce(text, chr(32))')} as n from documents))"
 
@@ -93,6 +93,11 @@ r as (select *, case when done then 'reused' when denied or checked then 'withhe
 e as (select source_id, min(place) filter (one = 'withheld') as e from r group by source_id),
 details as (select source_id, place::varchar as detail_url, place, case when place > e then 'unread' else one end as result from r join e using (source_id))"""
 
+GROUPED = f"""{REPEATED}, {DOC_FLAGS}, keyed_docs as (select n, {FOLD.format(c="organization")} as e, organization, {CLEAN.format(c="job_summary")} = '' as blank from docs),
+g as (select e, min_by(organization, n) as organization, min(n) as first, count(*) as c, bool_and(blank) as blank from keyed_docs group by 1 having count(*) >= 3 and e <> ''),
+blanks as (select e, organization, first, c, 'salary' as field from g union all select e, organization, first, c, 'job_summary' from g where blank)"""
+REASON = f"case code {' '.join(f"when '{c}' then '{r}'" for c, r in flags.REASONS.items())} else upper(code[1]) || lower(replace(code[2:], '_', ' ')) end"
+
 SQL = {
     "browse_default": f"""with {VISIBLE}, {COUNTS}, hit as (select vis.*, coalesce(counts.n, 0) as link_count from vis left join counts on u = trim(apply_url)
   where job_area = 'BUILDING' and (contains(lower(job_title), 'urgent') or contains(lower(organization), 'urgent') or contains(lower(job_area), 'urgent') or contains(lower(location), 'urgent') or contains(lower(location_area), 'urgent')))
@@ -203,4 +208,15 @@ select 'https://h' || w.k % 7 || '.org/' || w.k as page_url, step, case when amb
 from w left join e on w.k = e.k""",
     "feed_record_numbers": "select doc_id, 1 + doc_id % 3 as gap, sha256(coalesce(text, '')) as sha256, null::varchar as problem from documents",
     "numbered_lines": "select doc_id, 1 + doc_id % 3 as gap, doc_id % 10 = 0 as broken from documents",
+    "visible_moments": f"with {FEED_ORDERS}, m as (select * from (values " + ", ".join(f"('{k}', '{t}', {n})" for k, (t, n) in MOMENTS.items()) + f""") v(moment, today, now)),
+vis as (select * from feed cross join m where not {GONE.replace(TODAY, "today").replace(str(NOW), "now")} and {SAFE})
+select moment, '' as facet, '' as value, count(*) as visible from vis group by moment """ + "".join(f" union all select moment, '{f}', {f}, count(*) from vis where {f} <> '' group by all" for f in FACETS),
+    "finding_heads": f"""with {GROUPED}, heads as (select 0 as part, doc_id + 2 as first, unnest(string_split(flags, ',')) as code, 'job_summary' as field, null::varchar as organization, 1::bigint as n from flagged where flags <> ''
+  union all select 1, first_row, 'repeated_summary', 'job_summary', null, n from rep union all select 2, first, 'employer_field_entirely_blank', field, organization, c from blanks)
+select *, {REASON} as reason from heads""",
+    "finding_rows": f"""with {GROUPED}, same as (select s, min(n) as first from keyed group by s having count(distinct role) > 1)
+select 'repeated_summary' as code, 'job_summary' as field, first, n as row_number from keyed join same using (s) union all select 'employer_field_entirely_blank', field, first, n from keyed_docs join blanks using (e)""",
+    "registry_lookup": "select doc_id, case when source <> 'src1' then upper(source) end as name, case when source is null or source = 'src1' then 'unknown source' end as problem from documents",
+    "folded_text": "select doc_id, sha256(replace(lower(coalesce(text, '')), 'ß', 'ss')) as sha256 from documents",
+    "page_access": "select page_id, page_id % 9 = 0 as withheld from pages",
 }

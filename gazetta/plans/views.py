@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 ASOF = "1996-06-15 09:30:00"  # UTC; the London clock is an hour ahead
+#: UTC moments around clock changes, days' ends and closing minutes, with London's date and minutes of the day.
+MOMENTS = {"1992-02-29 00:00:00": ("1992-02-29", 0), "1994-03-27 01:00:00": ("1994-03-27", 120), "1995-10-22 10:30:00": ("1995-10-22", 630), "1996-06-15 09:29:59": ("1996-06-15", 629), ASOF: ("1996-06-15", 630), "1997-06-30 23:30:00": ("1997-07-01", 30), "2005-01-01 12:00:00": ("2005-01-01", 720)}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

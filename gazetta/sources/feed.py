@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.functions import text, urls
-from gazetta.sources import lines
+from gazetta.sources import lines, versions
 
 #: The columns of the two feed contracts, in order.
 LEGACY_COLUMNS = ["organization", "employer_type", "job_title", "job_area", "location", "location_area", "closing_date", "closing_time", "contract_type", "work_pattern", "salary", "apply_url", "job_reference", "date_checked", "source_url"]
@@ -148,10 +148,9 @@ def broken_lines(rows: DataFrame) -> DataFrame:
 
 
 def read_state(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """A state table of JSON lines, empty where nothing is stored yet."""
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    there = where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
-    return read_lines(spark, path, schema) if there else spark.createDataFrame([], f"{schema}, _corrupt_record string")
+    """A state table of JSON lines as it was last saved, empty where nothing is stored yet."""
+    whole = f"{schema}, _corrupt_record string"
+    return versions.read(spark, path, whole, form="json", mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt_record")
 
 
 def evidence(files: DataFrame, meta: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gazetta.operators.reconcile import feed_order
+from gazetta.sources import versions
 from gazetta.sources.feed import csv_lines
 
 
@@ -16,8 +17,8 @@ def write_feed(feed: DataFrame, path: str) -> None:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    """Rows as JSON with sorted keys. The old files go before the new ones come, so readers should wait for `_SUCCESS`."""
-    df.select(F.to_json(F.struct(*sorted(df.columns))).alias("value")).write.mode("overwrite").text(path)
+    """Rows as JSON lines with sorted keys, as the next version of a table: readers see the old rows until all new ones are there."""
+    versions.replace(df.select(F.to_json(F.struct(*sorted(df.columns))).alias("value")), path, form="text")
 
 
 def append_unique(df: DataFrame, path: str, keys: list[str]) -> None:
@@ -31,7 +32,10 @@ def append_unique(df: DataFrame, path: str, keys: list[str]) -> None:
 
 
 def replace_partition(df: DataFrame, path: str, column: str, value: str) -> None:
-    """Replace the rows of one partition value and keep all others; no new rows means that its old ones go."""
+    """Replace the rows of one partition value of a plain folder and keep all others; no new rows means that its old ones go.
+
+    Files of the partition go before their successors are all there; `versions.replace` with a part replaces it at one moment.
+    """
     spark = df.sparkSession
     if df.isEmpty():
         name = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString(column, value)
