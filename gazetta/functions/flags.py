@@ -47,6 +47,13 @@ REASONS = {
 BLANK = "blank_requires_detail_limitation"
 
 
+#: Texts of which a rule's every match holds one, by code and pattern's place among those of its code; other texts are not searched.
+GATES = {
+    ("markup_residue", 0): ("<",), ("script_residue", 0): ("<", "{", "(", "="), ("unresolved_placeholder", 0): ("{", "[object", "undefined", "null", "NaN"), ("salary_contains_other_fields", 0): (":",),
+    ("possible_truncation_requires_review", 0): ("...", "…"), ("metadata_first", 0): (":", "Salary"), ("truncated_sentence", 0): (".",),
+}
+
+
 @dataclass(frozen=True)
 class Rules:
     """Rules as one array expression; a text's flags come in rule order without repeats."""
@@ -54,10 +61,27 @@ class Rules:
     rules: tuple[tuple[str, str, str], ...]
 
     def of(self, text: Column) -> Column:
-        n = words(text)
-        test = {"<": lambda p: n < int(p), "=": lambda p: n == int(p)}
-        raised = [F.when(test.get(how, lambda p, how=how: text.rlike(f"(?d{'iuU' if how else 'U'}){p}"))(p), F.lit(code)) for code, how, p in self.rules]
-        return F.array_distinct(F.array_compact(F.array(*raised)))
+        raised, seen, counted = [], {}, any(how in ("<", "=") for _, how, _ in self.rules)
+        whole = F.struct(text.alias("t"), (words(text) if counted else F.lit(0)).alias("n"))  # words are counted once
+
+        def test(x: Column, code: str, how: str, p: str) -> Column:
+            if how in ("<", "="):
+                return x["n"] < int(p) if how == "<" else x["n"] == int(p)
+            found = x["t"].rlike(f"(?d{'iuU' if how else 'U'}){p}")
+            gate = F.lit(False)
+            for needle in GATES.get((code, seen[code]), ()):
+                gate |= F.contains(x["t"], F.lit(needle))
+            return gate & found if (code, seen[code]) in GATES else found
+
+        def flags_of(x: Column) -> Column:
+            seen.clear()
+            raised.clear()
+            for code, how, p in self.rules:
+                seen[code] = seen.get(code, -1) + 1
+                raised.append(F.when(test(x, code, how, p), F.lit(code)))
+            return F.array_distinct(F.array_compact(F.array(*raised)))
+
+        return F.get(F.transform(F.array(whole), flags_of), F.lit(0))
 
 
 def text_flags(c: Column | str) -> Column:

@@ -109,8 +109,8 @@ def ordered(feed: DataFrame, mode: str = "closing-soonest") -> DataFrame:
     return feed.orderBy(*(k.desc() if down else k.asc() for k, down in order_keys(mode)))
 
 
-def presented(feed: DataFrame, asof: str) -> DataFrame:
-    """Display columns of counted rows: fallbacks, link label, urgency and closing text."""
+def presented(feed: DataFrame, asof: str, *also: str) -> DataFrame:
+    """Display columns of counted rows: fallbacks, link label, urgency and closing text; `also` are kept as they are."""
     today, _ = dates.wall_clock(asof)
     shared = (text.trimmed("apply_url") != "") & (F.col("link_count") > 1)
     title, reference = text.shown(text.trimmed("job_title"), otherwise="Untitled vacancy"), text.trimmed("job_reference")
@@ -129,6 +129,7 @@ def presented(feed: DataFrame, asof: str) -> DataFrame:
         F.when(shared, "Open vacancies page").otherwise("View & Apply").alias("label"),
         F.when(shared, spoken).otherwise(F.concat(F.lit("View & Apply: "), title)).alias("aria_label"),
         F.when(shared, reference).otherwise("").alias("reference"),
+        *also,
     )
 
 

@@ -29,8 +29,7 @@ def query(f: Query) -> Query:
 def browse_default(spark, d):
     feed = browse.with_link_counts(browse.loaded(feed_orders(spark, d)))
     found = browse.matching(browse.visible(feed, ASOF), "urgent", job_area="BUILDING")
-    rank = ranked(found.select("rec_no", "job_title", "organization", "closing_date", "closing_time"), browse.order_keys("closing-soonest")).select("rec_no", "rank")
-    return browse.presented(found, ASOF).join(rank, "rec_no")
+    return browse.presented(ranked(found, browse.order_keys("closing-soonest")), ASOF, "rank")
 
 
 @query
