@@ -43,9 +43,10 @@ def clean(df: DataFrame, id_col: str, vec_col: str) -> DataFrame:
                 if i is None or v is None or not len(v) or v.null_count:
                     continue
                 x = np.asarray(v, dtype=np.float64) + 0.0  # -0.0 becomes 0.0
-                norm = float(np.sqrt((x * x).sum()))
-                if not np.isfinite(norm) or norm == 0:
+                most = float(np.abs(x).max())
+                if not np.isfinite(most) or most == 0:
                     continue
+                norm = min(most * float(np.linalg.norm(x / most)), np.finfo(np.float64).max)  # squares of large and small components would leave the range
                 ids.append(i), dims.append(len(x)), vecs.append(x.tobytes()), norms.append(norm)
                 keys.append(hashlib.blake2b(vecs[-1], digest_size=16).digest())
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(dims, pa.int32()), pa.array(vecs, pa.binary()), pa.array(keys, pa.binary()), pa.array(norms, pa.float64())], ["id", "dim", "vec", "class", "norm"])
@@ -62,6 +63,7 @@ class Hashing:
     def place(self, x: np.ndarray, query: bool) -> np.ndarray:
         """Positions in cells, rows x tables x k."""
         if query:
+            x = x / np.abs(x).max(axis=1, keepdims=True)
             x = x / np.linalg.norm(x, axis=1, keepdims=True)
             last = np.zeros((len(x), 1))
         else:
@@ -131,14 +133,15 @@ def fit(sample: np.ndarray, rows: int, scale: float, k_near: int, tables: int, t
                     best = (float(np.mean(seen)), h)
                 if recall >= target:
                     break  # more probes only cost more
-    return best[1] if best else Hashing(sample.shape[1], tables, 1, 4.0, 8, scale)
+    return best[1] if best else Hashing(sample.shape[1], 1, 1, 1e12, 1, scale)  # one cell: all vectors are visited
 
 
 def nearest(df: DataFrame, k: int = 20, every: int = 20, id_col: str = "vec_id", vec_col: str = "embedding", tables: int = 6, target: float = 0.96, fit_rows: int = 2000) -> DataFrame:
     """Rows (query_id, rank, vec_id, score): for every id divisible by `every` its k best found neighbours."""
     spark = df.sparkSession
     scratch = Scratch(spark, "ann")
-    good = scratch.write(clean(df, id_col, vec_col).dropDuplicates(["id"]), "clean")
+    one = F.min(F.struct("vec", "dim", "class", "norm")).alias("x")  # of different vectors with one id that with the smallest bytes
+    good = scratch.write(clean(df, id_col, vec_col).groupBy("id").agg(one).select("id", "x.dim", "x.vec", "x.class", "x.norm"), "clean")
     dims = good.groupBy("dim").count().orderBy(F.desc("count"), "dim").limit(1).collect()
     empty = spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
     if not dims:
