@@ -109,9 +109,12 @@ def scanned(history: DataFrame, rules: tuple[Rule, ...], ledger: DataFrame | Non
 
 
 def merged(found: Column, rules: tuple[Rule, ...]) -> Column:
-    """All spans of these rules, in order."""
-    own = F.filter(found, lambda x: x["rule"].isin([r.name for r in rules]))
-    return F.array_sort(F.flatten(F.transform(own, lambda x: x["spans"])))
+    """All spans of these rules, in order: by start, then as the rules stand now, whatever their order was when the ledger was written."""
+    names = [r.name for r in rules]
+    own = F.filter(found, lambda x: x["rule"].isin(names))
+    place = lambda x: (F.array_position(F.array(*map(F.lit, names)), x["rule"]) - 1).cast("int")
+    placed = lambda x: F.transform(x["spans"], lambda s: F.struct(s["start"].alias("start"), place(x).alias("ord"), s["kind"].alias("kind"), s["end"].alias("end")))
+    return F.array_sort(F.flatten(F.transform(own, placed)))
 
 
 def scan(history: DataFrame, rules: tuple[Rule, ...] = RULES, ledger: DataFrame | None = None, path_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
