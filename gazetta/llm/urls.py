@@ -78,7 +78,7 @@ def domain_of(host: Column) -> Column:
 def rule_of(host: Column, path: Column, rules: tuple[UrlRule, ...] = RULES) -> tuple[Column, Column]:
     """Name and verdict of the longest fitting rule, or nulls."""
     name, verdict = F.lit(None).cast("string"), F.lit(None).cast("string")
-    for r in sorted(rules, key=lambda r: len(r.name)):  # later, longer ones override
+    for r in sorted(reversed(rules), key=lambda r: len(r.name)):  # later ones override: longer ones, and of equal ones the first
         fits = ((host == r.host) | host.endswith("." + r.host)) & path.startswith(r.path)
         name, verdict = F.when(fits, r.name).otherwise(name), F.when(fits, r.verdict).otherwise(verdict)
     return name, verdict
