@@ -188,8 +188,8 @@ def test_language_model_sees_order_and_copies(spark):
     assert held and sum(r["score"] for r in held) > sum(r["base_score"] for r in held)
 
 
-def plain_bits(model, code, text, n, guess, other):
-    """One text's log2 probability, one decision after the other; `n` counts each of its tokens, `guess` names a foretold one."""
+def plain_bits(model, code, text, n, guess, same):
+    """One text's log2 probability, one decision after the other; `n` counts each of its tokens, `guess` names one that another text foretells, `same` is one that this text does."""
     fold = lambda h: (h ^ (h >> 32)) & 0xFFFFFFFF
     mix = lambda h: int(K.mix(np.array([h % 2**64], np.uint64))[0])
     u32 = lambda x: x % 2**32
@@ -204,12 +204,14 @@ def plain_bits(model, code, text, n, guess, other):
         c1, c2 = (classes[i - k] if i >= k else M.CLASSES for k in (1, 2))
         word, pair = fold(one), fold(mix(one * 3 + two * 5))
         level = sum(run >= e for e in (1, 2, 4, 8, 16, 32))
-        hit = bool(guess[i]) and guess[i] == max(h >> 48, 1)
-        if guess[i]:
-            kind = min(level, 3) if other[i] else 4 + min(level, 1)
-            steps.append((int(hit), M.OTHER if other[i] else M.OWN, kind, (u32(word + level), pair, u32((level * 64 + c1) * 0x2545F491))))
+        hit = h == same[i] or (guess[i] == max(h >> 48, 1) and n[i] > 0)
+        if guess[i] or same[i]:
+            kind = min(level, 3) if guess[i] else 4 + min(level, 1)
+            steps.append((int(hit), M.OTHER if guess[i] else M.OWN, kind, (u32(word + level), pair, u32((level * 64 + c1) * 0x2545F491))))
         run = run + 1 if hit else 0
         if hit:
+            if guess[i]:
+                besides += math.log2(code.names[max(h >> 48, 1)] / n[i])
             continue
         for node, bit, depth in ctree[classes[i]]:
             steps.append((bit, node, 6 + min(depth, 3), (word, pair, u32((c1 * 64 + c2 + 1) * 0x2545F491))))
@@ -267,16 +269,56 @@ def test_language_model_against_a_plain_reading():
     at, key = t.anchors()
     told = [[{"key": int(np.uint64(k).astype(np.int64)), "n": None, "ahead": np.where(dice.random(M.AHEAD) < 0.8, t.ahead(at[j : j + 1])[0], 7).astype(np.uint16).tobytes()} for j, k in enumerate(key) if t.row[at[j]] == r] for r in range(len(texts))]
     facts = M.Facts(pa.array(told, pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("ahead", pa.binary())]))))
-    code = M.Code(np.arange(M.CLASSES)[::-1] ** 2.0, np.full(M.CLASSES, 10_000.0), dice.integers(0, 50, 1 << 16).astype(float))
+    code = M.Code(np.arange(M.CLASSES)[::-1] ** 2.0, np.full(M.CLASSES, 10_000.0), dice.integers(0, 50, 1 << 16).astype(float), np.full(1 << 16, 9_000.0))
     model = M.Model([M.entries(dice.integers(0, 30, 1 << b), dice.integers(0, 30, 1 << b)) for b in M.BITS])
     model.weights += dice.normal(0, 0.1, model.weights.shape).astype(np.float32)
-    d = M.Decisions(t, n, code, facts)
+    d = M.Decisions(t, n, np.zeros((len(texts), M.CLASSES)), code, facts)
     got = model.bits(d) - d.besides
-    guess, other = M.foretold(t, facts)
-    assert (other & (guess > 0)).sum() > 10 and (~other & (guess > 0)).sum() > 10
+    guess, same, told_ = M.foretold(t, facts)
+    assert (guess > 0).sum() > 10 and (same > 0).sum() > 10 and (told_ == ((guess > 0) | (same > 0))).all()
     for r, text in enumerate(texts):
         part = slice(t.first[r], t.first[r + 1])
-        assert got[r] == pytest.approx(plain_bits(model, code, text, n[part].tolist(), guess[part].tolist(), other[part].tolist()), rel=2e-4, abs=0.05)
+        assert got[r] == pytest.approx(plain_bits(model, code, text, n[part].tolist(), guess[part].tolist(), same[part].tolist()), rel=2e-4, abs=0.05)
+
+
+def test_a_word_of_the_same_short_name_is_no_match():
+    import pyarrow as pa
+
+    seen, pair = {}, None
+    for k in range(5000):
+        h = int(K.words(*K.utf8(pa.array([f"w{k}"])))[0][0]) >> 48
+        if h in seen:
+            pair = f"w{seen[h]}", f"w{k}"
+            break
+        seen[h] = k
+    t = M.Tokens(pa.array([f"x y {pair[0]} q x y {pair[1]} q x y {pair[1]}"]))
+    guess, same, _ = M.foretold(t, M.Facts(pa.array([[]], pa.list_(pa.struct([("key", pa.int64()), ("n", pa.int64()), ("ahead", pa.binary())])))))
+    hit, _ = M.matched(t, guess, same, np.ones(len(t.hash), np.int64))
+    assert same[6] == t.hash[2] and not hit[6] and hit[10]
+
+
+def test_shares_of_a_class_sum_to_one_without_a_texts_own_words():
+    """What a learning text's words cost is a share of the counts without it, class by class."""
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    texts = [prose(rng, rng.choice([1, 30, 400]), ["ta", "re", "mi"]) for _ in range(30)]
+    t = M.Tokens(pa.array(texts))
+    kinds, place, total = np.unique(t.hash, return_inverse=True, return_counts=True)
+    mass = np.bincount(M.level(total), weights=total, minlength=M.CLASSES)
+    left, change = M.left_out(t, total[place], np.arange(30) % 3 > 0)
+    for r in range(30):
+        own = t.hash[t.first[r] : t.first[r + 1]]
+        rest = total - np.array([(own == h).sum() if r % 3 else 0 for h in kinds])
+        assert np.allclose(mass + change[r], np.bincount(M.level(rest), weights=rest, minlength=M.CLASSES))
+        assert (left[t.first[r] : t.first[r + 1]] == rest[np.searchsorted(kinds, own)]).all()
+
+
+def test_language_model_with_one_row_many_times(spark):
+    rng = random.Random(2)
+    rows = [(k, prose(rng, 60)) for k in range(40)] + [(77, prose(rng, 300))] * 3000
+    got = score(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)).where("doc_id = 77").groupBy("score").count().collect()
+    assert sum(r["count"] for r in got) == 3000 and max(r["score"] for r in got) - min(r["score"] for r in got) < 1e-6
 
 
 SECRETS = ["password = 'abcdefgh1'", "TOKEN:short secret=token: abcdefgh", "x AKIA" + "A" * 12 + " AKIAB", "é" * 3 + "0123456789abcdef" * 2, "api_key=\"" + "k" * 9 + "\"", "ghp_" + "a" * 36, "", None]
@@ -290,6 +332,39 @@ def spans(text):
     return [f"{kind}:{a}:{b}" for a, _, kind, b in sorted(out)]
 
 
+def test_neighbours_of_very_large_and_small_vectors(spark):
+    rng = np.random.default_rng(3)
+    rows = [(k, rng.normal(size=3).tolist()) for k in range(60)] + [(100, [1e200, 1e200, 1.0]), (120, [1e-200, 0.0, 0.0]), (101, [1e150, 0.0, 0.0]), (140, [0.0, 0.0, 0.0]), (160, [float("inf"), 0.0, 0.0]), (60, None), (0, [9.0, 9.0, 9.0])]
+    got = {}
+    for r in nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), k=5).collect():
+        got.setdefault(r["query_id"], []).append((r["rank"], r["vec_id"], r["score"]))
+    one = {}
+    for i, v in rows:  # of repeated ids the vector with the smaller bytes
+        if v is not None and all(map(math.isfinite, v)) and any(v):
+            one[i] = min(one.get(i, v), v, key=lambda x: np.array(x).tobytes())
+    assert set(got) == {i for i in one if i % 20 == 0} and {100, 120} <= set(got)
+    for q, found in got.items():
+        want = sorted(((-float(np.dot(one[q], v)), i) for i, v in one.items() if i != q))[:5]
+        assert [i for _, i, _ in sorted(found)] == [i for _, i in want]
+
+
+def test_findings_follow_the_order_of_the_rules_now(spark):
+    text = "token=AKIA" + "A" * 12 + " " + "0123456789abcdef" * 2
+    df = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    _, ledger = scan(df, rules=RULES[::-1])
+    found, _ = scan(df, ledger=ledger)
+    assert [x["ord"] for x in found.first()["spans"]] == sorted((x["ord"] for x in found.first()["spans"]), key=lambda k: [s["start"] for s in found.first()["spans"] if s["ord"] == k])
+    assert found.first()["spans"] == scan(df)[0].first()["spans"]
+
+
+def test_of_equally_long_url_rules_the_first_counts(spark):
+    from gazetta.llm.urls import UrlRule, rule_of
+
+    rules = (UrlRule("block", "b.org", "/x"), UrlRule("allow", "b.org", "/x"))
+    name, verdict = rule_of(F.lit("a.b.org"), F.lit("/xy"), rules)
+    assert spark.range(1).select(verdict.alias("v")).first()["v"] == "block"
+
+
 def test_secrets_and_ledger(spark):
     rows = [(k, t) for k, t in enumerate(SECRETS)] + [(50, SECRETS[0]), (0, SECRETS[0])]
     df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("blob", F.lit("clash"))
