@@ -26,13 +26,16 @@ empty table gives an empty result. The similarity must be over 1/2: below, a set
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import kernel as K
-from .shared import Scratch, components, salted_join, small_batches
+from .shared import Scratch, components, merged_pieces, salted_join, small_batches
 
 BITS = 23  # buckets of the histogram behind the shingle order: 8 MB as broadcast, whatever the corpus
 BUCKETS, BLOCK = 1 << BITS, 1 << 15
@@ -84,16 +87,17 @@ def profile(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names)
         blocks = [k for k in range(BUCKETS // BLOCK) if total[k * BLOCK : (k + 1) * BLOCK].any()]
         none = pa.nulls(len(blocks)).cast(pa.int64())
-        yield pa.RecordBatch.from_arrays([none, none, none, none, pa.array(blocks, pa.int32()), pa.array([shrunk(total[k * BLOCK : (k + 1) * BLOCK]) for k in blocks], pa.binary())], names)
+        task = pa.array([TaskContext.get().partitionId()] * len(blocks), pa.int64())  # in place of a size
+        yield pa.RecordBatch.from_arrays([none, none, task, none, pa.array(blocks, pa.int32()), pa.array([shrunk(total[k * BLOCK : (k + 1) * BLOCK]) for k in blocks], pa.binary())], names)
 
     return docs.mapInArrow(run, "doc_id long, rid long, n long, sig long, block int, counts binary")
 
 
 def shrunk(x: np.ndarray) -> bytes:
-    """Counts of a block: places and counts where few differ from zero, else all counts, in one byte or four."""
+    """Counts of a block: places and counts where few differ from zero, else all counts, in one byte, four or eight."""
     at = np.flatnonzero(x)
     if x.max() > 255:
-        return x.astype(np.int32).tobytes()
+        return x.astype(np.int32 if x.max() < 1 << 31 else np.int64).tobytes()
     if 3 * len(at) < BLOCK:
         return at.astype(np.uint16).tobytes() + x[at].astype(np.uint8).tobytes()
     return x.astype(np.uint8).tobytes()
@@ -105,24 +109,23 @@ def added(total: np.ndarray, x: bytes) -> None:
         n = len(x) // 3
         total[np.frombuffer(x, np.uint16, n)] += np.frombuffer(x, np.uint8, n, 2 * n)
     else:
-        total += np.frombuffer(x, dtype=np.uint8 if len(x) == BLOCK else np.int32)
+        total += np.frombuffer(x, dtype={1: np.uint8, 4: np.int32, 8: np.int64}[len(x) // BLOCK])
 
 
 def histogram(profiles: DataFrame) -> np.ndarray:
     """Logarithmic loads of all buckets; BUCKETS bytes reach the driver."""
 
-    def add(part):
-        import pandas as pd
-
-        total = np.zeros(BLOCK)
-        for x in part["counts"]:
-            added(total, x)
-        level = np.minimum(255, np.rint(np.log2(total + 1) * OCTAVE)).astype(np.uint8)
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "levels": [level.tobytes()]})
+    def total(pieces):
+        out = np.zeros(BLOCK)
+        for x in pieces:
+            added(out, x)
+        return out
 
+    level = lambda x: np.minimum(255, np.rint(np.log2(x + 1) * OCTAVE)).astype(np.uint8)
+    parts = profiles.where("block is not null").select("block", F.col("n").alias("part"), F.col("counts").alias("sums"))
     out = np.zeros(BUCKETS, dtype=np.uint8)
-    for r in profiles.where("block is not null").select("block", "counts").groupBy("block").applyInPandas(add, "block int, levels binary").toLocalIterator():
-        out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["levels"], dtype=np.uint8)
+    for r in merged_pieces(parts, lambda _, x: shrunk(total(x)), lambda _, x: level(total(x)).tobytes()).toLocalIterator():
+        out[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(r["sums"], dtype=np.uint8)
     return out
 
 
@@ -381,16 +384,15 @@ def bloomed(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
             seen[((h >> np.uint64(32)) % np.uint64(bits)).astype(np.int64)] = True
         packed = np.packbits(seen).reshape(256, -1)
         full = [k for k in range(256) if packed[k].any()]
-        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), pa.array([packed[k].tobytes() for k in full], pa.binary())], ["block", "bits"])
-
-    def either(part):
-        import pandas as pd
+        task = pa.array([TaskContext.get().partitionId()] * len(full), pa.int32())
+        yield pa.RecordBatch.from_arrays([pa.array(full, pa.int32()), task, pa.array([packed[k].tobytes() for k in full], pa.binary())], ["block", "part", "sums"])
 
-        return pd.DataFrame({"block": [part["block"].iloc[0]], "bits": [np.bitwise_or.reduce([np.frombuffer(x, np.uint8) for x in part["bits"]]).tobytes()]})
+    def either(_, pieces):
+        return reduce(np.bitwise_or, (np.frombuffer(x, np.uint8) for x in pieces)).tobytes()
 
     table = np.zeros((256, bits // 8 // 256), dtype=np.uint8)
-    for r in ids.mapInArrow(mark, "block int, bits binary").groupBy("block").applyInPandas(either, "block int, bits binary").toLocalIterator():
-        table[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    for r in merged_pieces(ids.mapInArrow(mark, "block int, part int, sums binary"), either, either).toLocalIterator():
+        table[r["block"]] = np.frombuffer(r["sums"], np.uint8)
     shared = docs.sparkSession.sparkContext.broadcast(table.reshape(-1))
 
     def test(batches):

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from itertools import groupby
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -139,6 +142,29 @@ def unpacked(total, x: bytes) -> None:
         total += np.frombuffer(x, kind, offset=2)
 
 
+FAN = 256  # tasks whose pieces of a block are added first
+
+
+def merged_pieces(parts: DataFrame, fold, last) -> DataFrame:
+    """(block, sums): the pieces of every block made one, by `fold(block, pieces)` and in the end by `last(block, pieces)`, which both give bytes.
+
+    `parts` has a row (block, part, sums) for each block and task, `part` the task's number. Pieces of FAN tasks become one first, so of each block a task of
+    the second round reads one for every FAN tasks. Rows come in order and one by one, so a task holds one block however many they are.
+    """
+
+    def over(one):
+        def run(batches):
+            rows = (r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            for (block, part), own in groupby(rows, key=lambda r: r[:2]):
+                yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([part], pa.int32()), pa.array([one(block, (x for _, _, x in own))], pa.binary())], ["block", "part", "sums"])
+
+        return run
+
+    kind = "block int, part int, sums binary"
+    first = parts.select("block", F.floor(F.col("part") / FAN).cast("int").alias("part"), "sums").repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(over(fold), kind)
+    return first.withColumn("part", F.lit(0)).repartition("block").sortWithinPartitions("block").mapInArrow(over(last), kind).select("block", "sums")
+
+
 def dense_sum(df: DataFrame, task_sum, size: int, block: int = 1 << 12, finish=None):
     """Sum of one array of `size` numbers per task, as float64, or what `finish` makes of each block of it.
 
@@ -146,26 +172,24 @@ def dense_sum(df: DataFrame, task_sum, size: int, block: int = 1 << 12, finish=N
     `size` numbers reach the driver, whatever the input. A block has 65536 numbers at most.
     """
     import numpy as np
-    import pandas as pd
-    import pyarrow as pa
 
     finish = finish or (lambda x: x)
 
     def run(batches):
         total = np.asarray(task_sum(batches))
-        full = [k for k in range(0, size, block) if total[k : k + block].any()]
-        for k in full:
-            yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), pa.array([packed(total[k : k + block])], pa.binary())], ["block", "sums"])
+        task = TaskContext.get().partitionId()
+        for k in (k for k in range(0, size, block) if total[k : k + block].any()):
+            yield pa.RecordBatch.from_arrays([pa.array([k // block], pa.int32()), pa.array([task], pa.int32()), pa.array([packed(total[k : k + block])], pa.binary())], ["block", "part", "sums"])
 
-    def add(part):
-        k = int(part["block"].iloc[0])
+    def added(k, pieces):
         total = np.zeros(min(block, size - k * block))
-        for x in part["sums"]:
+        for x in pieces:
             unpacked(total, x)
-        return pd.DataFrame({"block": [k], "sums": [finish(total).tobytes()]})
+        return total
 
     none = finish(np.zeros(min(block, size)))
     out = [none[: len(none) * min(block, size - k) // min(block, size)] for k in range(0, size, block)]
-    for r in df.mapInArrow(run, "block int, sums binary").groupBy("block").applyInPandas(add, "block int, sums binary").toLocalIterator():
+    parts = df.mapInArrow(run, "block int, part int, sums binary")
+    for r in merged_pieces(parts, lambda k, x: packed(added(k, x)), lambda k, x: finish(added(k, x)).tobytes()).toLocalIterator():
         out[r["block"]] = np.frombuffer(r["sums"], none.dtype)
     return np.concatenate(out)

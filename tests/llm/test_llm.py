@@ -321,6 +321,24 @@ def test_language_model_with_one_row_many_times(spark):
     assert sum(r["count"] for r in got) == 3000 and max(r["score"] for r in got) - min(r["score"] for r in got) < 1e-6
 
 
+def test_pieces_of_many_tasks_are_merged_in_two_rounds(spark):
+    """A piece of each of 2000 tasks: no step of the first round sees more than FAN of a block, none of the second more than tasks / FAN."""
+    from gazetta.llm import shared
+
+    parts = spark.range(0, 4000, 1, 2000).select((F.col("id") % 2).cast("int").alias("block"), F.floor(F.col("id") / 2).cast("int").alias("part"), F.lit(b"\x01").alias("sums"))
+
+    def join(_, pieces):
+        pieces = [x.split(b":") for x in pieces]  # how many were joined, and the most that were at once
+        return b"%d:%d" % (sum(int(x[0]) if len(x) == 2 else 1 for x in pieces), max([len(pieces), *(int(x[1]) for x in pieces if len(x) == 2)]))
+
+    got = {r["block"]: r["sums"] for r in shared.merged_pieces(parts, join, join).collect()}
+    assert {k: int(v.split(b":")[0]) for k, v in got.items()} == {0: 2000, 1: 2000} and all(int(v.split(b":")[1]) <= shared.FAN for v in got.values())
+    import numpy as np
+
+    total = shared.dense_sum(spark.range(0, 600, 1, 300).select("id"), lambda batches: sum(np.bincount(np.asarray(b.column(0)) % 10, minlength=9000) for b in batches), 9000)
+    assert total.shape == (9000,) and (total[:10] == 60).all() and not total[10:].any()
+
+
 SECRETS = ["password = 'abcdefgh1'", "TOKEN:short secret=token: abcdefgh", "x AKIA" + "A" * 12 + " AKIAB", "é" * 3 + "0123456789abcdef" * 2, "api_key=\"" + "k" * 9 + "\"", "ghp_" + "a" * 36, "", None]
 
 
