@@ -147,11 +147,12 @@ def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int,
 
     some = F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long"))  # at most fit_rows
     one = F.min(F.struct("lang", "idx", "share")).alias("x")  # of rows that repeat an id
-    got = docs.join(some, "doc_id").select("doc_id", "lang", "text").mapInArrow(rows, "doc_id long, lang string, idx binary, share binary").groupBy("doc_id").agg(one).select("doc_id", "x.*").collect()
-    got.sort(key=lambda r: r["doc_id"])
-    langs = sorted({r["lang"] for r in got})
-    y = np.array([langs.index(r["lang"]) for r in got])
-    return train([(np.frombuffer(r["idx"], np.int32), np.frombuffer(r["share"], np.float32)) for r in got], y, langs, dim, epochs, rate)
+    got = docs.join(some, "doc_id").select("doc_id", "lang", "text").mapInArrow(rows, "doc_id long, lang string, idx binary, share binary").groupBy("doc_id").agg(one).select("doc_id", "x.*").toArrow()
+    told = got["lang"].to_pylist()
+    langs = sorted(set(told))
+    order = np.argsort(got["doc_id"].to_numpy(), kind="stable").tolist()
+    view = lambda name, k, kind: np.frombuffer(got[name][k].as_buffer(), kind)
+    return train([(view("idx", k, np.int32), view("share", k, np.float32)) for k in order], np.array([langs.index(told[k]) for k in order]), langs, dim, epochs, rate)
 
 
 def identify(docs: DataFrame, learn_from: DataFrame | None = None, folds: int = 3, fold: int = 1, fit_rows: int = 3000, fit_bytes: int = 1 << 27, dim: int = 16, epochs: int = 4, rate: float = 0.5) -> DataFrame:
