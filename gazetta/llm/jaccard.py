@@ -135,12 +135,16 @@ def boundary(hist: np.ndarray, num: int, den: int, largest: int = 64) -> int:
     Costs are rows written plus list entries met: C(p+1, 2) for subsets, p * (1 + l) for lists, where p is the
     prefix length and l the mean relative load of the rarer quarter of shingles, the part that prefixes take.
     """
-    load = np.sort(2.0 ** (hist[hist > 0] / OCTAVE) - 1)
-    if not len(load):
+    counts = sum(np.bincount(hist[k : k + BLOCK], minlength=256) for k in range(0, len(hist), BLOCK))[1:]  # buckets of each level; no array of all loads
+    if not counts.any():
         return 2
-    mass = np.cumsum(load)
-    rare = load[: int(np.searchsorted(mass, mass[-1] / 4)) + 1]
-    met = max(1.0, float((rare**2).sum() / rare.sum()) / max(1.0, float(np.median(load))))
+    load, cum = 2.0 ** (np.arange(1, 256) / OCTAVE) - 1, np.cumsum(counts)
+    mass = np.cumsum(load * counts)
+    last = int(np.searchsorted(mass, mass[-1] / 4))  # the level in which the rarer quarter ends
+    rare = np.where(np.arange(255) < last, counts, 0)
+    rare[last] = min(counts[last], max(1, np.ceil((mass[-1] / 4 - mass[last] + load[last] * counts[last]) / load[last])))
+    median = load[np.searchsorted(cum, [(cum[-1] - 1) // 2, cum[-1] // 2], side="right")].mean()
+    met = max(1.0, float((rare * load**2).sum() / (rare * load).sum()) / max(1.0, float(median)))
     n = 2
     while n < largest:
         p = n - least(n, num, den) + 1
