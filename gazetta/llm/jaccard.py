@@ -242,9 +242,12 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # one exchange by key serves the removal of copies and the look at each member's neighbours in its list
     rows = postings(docs, rank, limit, words, num, den).repartition("key").dropDuplicates(["key", "sig"])
     order = Window.partitionBy("key").orderBy("n", "sig")
-    rows = rows.withColumn("down", F.lag("n").over(order)).withColumn("up", F.lead("n").over(order))
+    rows = rows.withColumns({f"{name}_{c}": f(c).over(order) for name, f in (("down", F.lag), ("up", F.lead)) for c in ("n", "pos")} | {"more": F.coalesce(F.lag("n", 2).over(order), F.lead("n", 2).over(order))})
     # members whose neighbours by size are too far off share this key with no possible partner
-    close = (den * F.col("down") >= num * F.col("n")) | (den * F.col("n") >= num * F.col("up"))
+    near = (den * F.col("down_n") >= num * F.col("n")) | (den * F.col("n") >= num * F.col("up_n"))
+    # a list of two is one pair: its places must allow as many shared keys as it needs
+    two = F.col("more").isNull() & (F.col("down_n").isNull() | F.col("up_n").isNull())
+    close = F.when(two, pair_fits(("n", "pos"), (F.coalesce("down_n", "up_n"), F.coalesce("down_pos", "up_pos")), limit, num, den)).otherwise(near)
     lists = scratch.write(rows.where(close).select("key", "sig", "n", "pos"), "lists")
     # a set that shares fewer keys than any pair of its size must share links with nothing
     enough = need_keys((-F.floor(F.lit(-num) * F.col("n") / den)).cast("int"), limit, num, den)
@@ -346,6 +349,13 @@ def need_keys(n, limit: int, num: int, den: int):
     return F.when(n < limit, 1).otherwise(1 + F.floor((n + F.floor(F.lit(-num) * n / den) + 1) / 8))
 
 
+def pair_fits(one, other, limit: int, num: int, den: int):
+    """Whether two entries (size, place) of one key can be among the shared keys that `shared_least` counts for their sets."""
+    (n, p), (m, q) = (tuple(F.col(c) if isinstance(c, str) else c for c in x) for x in (one, other))
+    spare = need_keys(F.least(n, m), limit, num, den) - 1 + F.floor(F.lit(-num) * (n + m) / (num + den))  # keys counted less one, less the overlap needed
+    return sizes_fit(n, m, num, den) & (p <= n + spare) & (q <= m + spare)
+
+
 def split(shared: DataFrame, label: DataFrame) -> DataFrame:
     """Entries of the lists that hold more than one component, with the component's root."""
     tagged = shared.join(label.withColumnRenamed("id", "sig"), "sig", "left").withColumn("root", F.coalesce("root", "sig"))
