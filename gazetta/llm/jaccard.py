@@ -219,7 +219,7 @@ def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame
                 keep.append(den * same >= num * (both - same))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    whole = salted_join(salted_join(pairs, a, "a", "b"), b, "b", "a")  # one set may meet very many
+    whole = salted_join(salted_join(pairs, a, "a", "b"), b, "b", "a", keys=pairs)  # one set may meet very many
     return whole.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
 
 
@@ -268,16 +268,17 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # each set meets one head of each of its min-hash groups
     central = shared.groupBy("sig").agg((-F.max("keys")).alias("rank"))  # the member of a family that was edited least shares most keys
     sketch = sets.select("sig", "n", "sketch").join(central, "sig").select("sig", "n", "rank", F.posexplode("sketch").alias("r", "h")).select("sig", "n", "rank", F.xxhash64("r", "h").alias("group"))
+    sketch = scratch.write(sketch, "sketch")  # read several times from here on: a plan that computes it each time has over a hundred exchanges
     head = sketch.groupBy("group").agg(F.min(F.struct("rank", F.xxhash64("sig", "group").alias("draw"), "sig", "n")).alias("head"), F.count("*").alias("m")).where("m > 1").select("group", "head")
     met = salted_join(sketch.join(head.select("group"), "group", "left_semi"), head, "group", "sig")
     met = met.where("sig <> head.sig").where(sizes_fit(F.col("n"), F.col("head.n"), num, den))
-    met = met.select(F.least("sig", "head.sig").alias("a"), F.greatest("sig", "head.sig").alias("b")).distinct()
+    met = scratch.write(met.select(F.least("sig", "head.sig").alias("a"), F.greatest("sig", "head.sig").alias("b")).distinct(), "met")
     links = scratch.write(verified(met, sets, num, den), "links-0")
     label = components(links, scratch, "c0")
 
     # of lists with several components, a few members of each meet a few of the largest one, drawn anew each round
     tagged = scratch.write(split(shared, label), "tagged-0")
-    scratch.drop("shared", "links-0")
+    scratch.drop("shared", "sketch", "met", "links-0")
     for step in range(ROUNDS):
         draw = [F.xxhash64("sig", F.lit(step * HEADS + k)) for k in range(HEADS)]  # half of them members that share most keys
         draws = [F.min(F.struct((F.when(draw[k] % 2 == 0, -F.col("keys")).otherwise(0) if k % 2 else -F.col("keys") if k == 0 else F.lit(0)).alias("rank"), draw[k].alias("draw"), "sig", "n", "pos")) for k in range(HEADS)]

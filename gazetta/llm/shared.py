@@ -73,13 +73,13 @@ def small_batches(spark: SparkSession, rows: int = 500) -> None:
             spark.conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
-def salted_join(many: DataFrame, one: DataFrame, key: str, salt: str, spread: int = 16, hot: int = 2000) -> DataFrame:
+def salted_join(many: DataFrame, one: DataFrame, key: str, salt: str, spread: int = 16, hot: int = 2000, keys: DataFrame | None = None) -> DataFrame:
     """Left join of `many` rows to at most one row per key, whose hot keys are spread over `spread` tasks by the column `salt`.
 
     Keys with more than `hot` rows are hot; only their rows of `one` are repeated, so the copies are fewer than
-    rows / hot * spread.
+    rows / hot * spread. `many` is read three times; where it is dear, `keys` are other rows with the same keys to count by.
     """
-    counts = many.groupBy(key).count().where(F.col("count") > hot).select(key, F.lit(spread).alias("_n"))
+    counts = (many if keys is None else keys).groupBy(key).count().where(F.col("count") > hot).select(key, F.lit(spread).alias("_n"))
     one = one.join(counts, key, "left").withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_n", F.lit(1)) - 1))).drop("_n")
     many = many.join(counts, key, "left").withColumn("_salt", F.pmod(F.xxhash64(salt), F.coalesce("_n", F.lit(1))).cast("int")).drop("_n")
     return many.join(one, [key, "_salt"], "left").drop("_salt")
