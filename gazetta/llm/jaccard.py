@@ -283,8 +283,9 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         draw = [F.xxhash64("sig", F.lit(step * HEADS + k)) for k in range(HEADS)]  # half of them members that share most keys
         draws = [F.min(F.struct((F.when(draw[k] % 2 == 0, -F.col("keys")).otherwise(0) if k % 2 else -F.col("keys") if k == 0 else F.lit(0)).alias("rank"), draw[k].alias("draw"), "sig", "n", "pos")) for k in range(HEADS)]
         heads = tagged.groupBy("key", "root").agg(F.array_distinct(F.transform(F.array(*draws), lambda x: x.dropFields("rank", "draw"))).alias("own"))
-        heads = heads.select("key", "root", F.explode("own").alias("x")).select("key", "root", "x.*")
+        heads = scratch.write(heads.select("key", "root", F.explode("own").alias("x")).select("key", "root", "x.*"), f"drawn-{step}")
         fresh = meet(heads, sets, num, den, scratch, f"heads-{step}", star=True)
+        scratch.drop(f"drawn-{step}")
         if fresh.isEmpty():
             break
         label = merged(label, fresh, scratch, f"c1-{step}")
