@@ -299,3 +299,20 @@ def test_text_at_the_edges(spark):
     assert value(spark, urls.parameter(F.lit("https://x/?a.b=1&axb=2"), "a.b")) == "1"
     assert value(spark, urls.destination_problem(F.lit("https://x/?usession=1"), F.lit("itrent"), F.lit("https://b/"), F.lit(True))) == "link_bound_to_session"
     assert value(spark, urls.advert_link(F.lit("/a"), F.lit("https://x.org/l"))) == "https://x.org/a" and value(spark, urls.advert_link(F.lit("https://y.org/a"), F.lit("https://x.org/l"))) is None
+
+
+def test_references_without_semicolon(spark):
+    """A cut reference stays as it stands where closed ones alone count; the parser alone reads it."""
+    page = "<title>T</title><h1>a &amp;&amp;amp &copy; R&D &#38; &#3 &amp</h1>"
+    df = spark.createDataFrame([(page,), (None,)], "html string")
+    head = lambda c: [r["t"] for r in df.select(html.first_text(html.nodes(c, "h1")).alias("t")).collect()]
+    assert head(html.closed_references("html")) == ["a &&amp © R&D & &#3 &amp", ""]
+    assert head("html")[0].endswith("&")
+
+
+def test_title_query_over_cut_references(spark, tmp_path):
+    from gazetta.plans.queries import queries
+
+    page = "<html><head><title>x&amp</title></head><body><h1>x&amp;&amp</h1></body></html>"
+    spark.createDataFrame([(1, "https://h.org/", page)], "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    assert [tuple(r) for r in queries()["html_title_h1"](spark, str(tmp_path)).select("page_id", "titles", "h1").collect()] == [(1, 1, "x&&amp")]
