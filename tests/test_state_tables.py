@@ -5,7 +5,7 @@ import sys
 import pytest
 from pyspark.sql import functions as F
 
-from gazetta.functions import text
+from gazetta.functions import flags, text
 from gazetta.operators import browse, candidates, quality
 from gazetta.sources import versions
 
@@ -83,3 +83,30 @@ def test_parts_are_replaced_alone(spark, tmp_path):
     assert read() == [("a/1 ü", 4), ("b", 3)] and read(version=2) == [("a/1 ü", 1), ("a/1 ü", 2), ("b", 3)]
     assert versions.remove_part(spark, path, "b") == 4 and read() == [("a/1 ü", 4)]
     assert versions.clean(spark, path, keep=1) == 2 and read() == [("a/1 ü", 4)]
+
+
+def test_texts_are_folded_once(spark):
+    """What repeats is found among written digests: no text is folded by the plans that read them."""
+    rows = [(k + 2, "Org", "Title", f"r{k}", "", " ".join(["Straße word"] * 20) if k < 4 else f"own {k} " * 30) for k in range(8)]
+    feed = spark.createDataFrame(rows, "rec_no long, organization string, job_title string, job_reference string, salary string, job_summary string")
+    found = quality.repeated_summaries(feed)
+    assert [r["row_numbers"] for r in found.collect()] == [[2, 3, 4, 5]]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "sha2" not in plan and "regexp_replace" not in plan
+    few = feed.withColumn("job_summary", F.concat(F.lit("  "), F.array_join(F.array_repeat(F.lit("w"), (F.col("rec_no") + 25).cast("int")), " \n")))
+    assert sorted(r["n"] for r in quality.summary_rows(few).collect()) == [5, 6, 7, 8, 9]
+    assert {r["n"] for r in quality.summary_rows(feed.withColumn("job_summary", F.lit(" ")), least=1).collect()} == set()
+
+
+def test_gates_of_rules_for_any_case(spark):
+    """Letters beyond ASCII that patterns take for a-z are taken so by what decides whether a text is searched."""
+    df = spark.range(0x80, 0x10000).where((F.col("id") < 0xD800) | (F.col("id") > 0xDFFF)).select(F.decode(F.unhex(F.lpad(F.hex("id"), 4, "0")), "UTF-16BE").alias("c"))
+    loose = df.where(F.col("c").rlike("(?diuU)[a-z]")).select("c", flags.plain(F.col("c")).alias("p")).collect()
+    assert {r["c"]: r["p"] for r in loose} == flags.LOOSE
+    texts = ["We have internal vacancies.", "Read MORE", "ſee  more", "It seems we are looKing for you", "he İs seekıng", "PROTECTED Characteristıcs", "so it ends; and A.", "DOİNG things differently", "WE OFFER a PENſION", "Closing DATE: x Intervıews:"]
+    rules = [(code, p) for code, how, p in flags.SUMMARY if how == "i"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    found = df.select("t", flags.summary_flags("t").alias("f"), *(F.col("t").rlike(f"(?diuU){p}").alias(f"r{k}") for k, (_, p) in enumerate(rules))).collect()
+    for r in found:
+        assert set(r["f"]) - {"short_requires_semantic_review"} == {code for k, (code, _) in enumerate(rules) if r[f"r{k}"]}
+    assert sum(len(r["f"]) > 1 for r in found) == 9
