@@ -44,6 +44,7 @@ SKETCH = 4  # min-hashes of a set
 HEADS = 4  # members drawn of each component in a list
 ROUNDS = 3
 HOT = 2000  # entries of a list that one task pairs
+SHARES = 2  # of the keys, whose lists are made one share after another
 
 
 def least(n: int, num: int, den: int) -> int:
@@ -159,8 +160,8 @@ def shared_least(n: int, limit: int, num: int, den: int) -> int:
     return 1 if n < limit else 1 + (n - least(n, num, den) + 1) // 8
 
 
-def postings(docs: DataFrame, rank, limit: int, words: int, num: int, den: int) -> DataFrame:
-    """Rows (key, sig, n, pos) of every set: single prefix shingles, 2-subsets, or both, with their place in the set's order."""
+def postings(docs: DataFrame, rank, limit: int, words: int, num: int, den: int, part: int = 0, parts: int = 1) -> DataFrame:
+    """Rows (key, sig, n, pos) of every set: single prefix shingles, 2-subsets, or both, with their place in the set's order; of `parts` shares of the keys the given one."""
 
     def run(batches):
         order = rank.value
@@ -198,11 +199,29 @@ def postings(docs: DataFrame, rank, limit: int, words: int, num: int, den: int)
                 yield flush(keys, sigs, sizes, places)
 
     def flush(keys, sigs, sizes, places):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype(np.int64)), *(pa.array(np.concatenate(v)) for v in (sigs, sizes, places))], ["key", "sig", "n", "pos"])
+        key = np.concatenate(keys)
+        own = key % np.uint64(parts) == part
+        return pa.RecordBatch.from_arrays([pa.array(key[own].astype(np.int64)), *(pa.array(np.concatenate(v)[own]) for v in (sigs, sizes, places))], ["key", "sig", "n", "pos"])
 
     return docs.select("text").mapInArrow(run, "key long, sig long, n int, pos int")
 
 
+def neighboured(rows: DataFrame, limit: int, num: int, den: int) -> DataFrame:
+    """The rows (key, sig, n, pos) without copies that have a possible partner next to them in their list.
+
+    One exchange by key serves the removal of copies and the look at each member's neighbours.
+    """
+    rows = rows.repartition("key").dropDuplicates(["key", "sig"])
+    order = Window.partitionBy("key").orderBy("n", "sig")
+    rows = rows.withColumns({f"{name}_{c}": f(c).over(order) for name, f in (("down", F.lag), ("up", F.lead)) for c in ("n", "pos")} | {"more": F.coalesce(F.lag("n", 2).over(order), F.lead("n", 2).over(order))})
+    # members whose neighbours by size are too far off share this key with no possible partner
+    near = (den * F.col("down_n") >= num * F.col("n")) | (den * F.col("n") >= num * F.col("up_n"))
+    # a list of two is one pair: its places must allow as many shared keys as it needs
+    two = F.col("more").isNull() & (F.col("down_n").isNull() | F.col("up_n").isNull())
+    close = F.when(two, pair_fits(("n", "pos"), (F.coalesce("down_n", "up_n"), F.coalesce("down_pos", "up_pos")), limit, num, den)).otherwise(near)
+    return rows.where(close).select("key", "sig", "n", "pos")
+
+
 def verified(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose whole sets reach the similarity."""
     a, b = sets.select(F.col("sig").alias("a"), F.col("items").alias("x")), sets.select(F.col("sig").alias("b"), F.col("items").alias("y"))
@@ -239,23 +258,16 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = scratch.write(profiles.where("block is null").select("doc_id", "rid", "n", "sig"), "members")
     scratch.drop("profile")
 
-    # one exchange by key serves the removal of copies and the look at each member's neighbours in its list
-    rows = postings(docs, rank, limit, words, num, den).repartition("key").dropDuplicates(["key", "sig"])
-    order = Window.partitionBy("key").orderBy("n", "sig")
-    rows = rows.withColumns({f"{name}_{c}": f(c).over(order) for name, f in (("down", F.lag), ("up", F.lead)) for c in ("n", "pos")} | {"more": F.coalesce(F.lag("n", 2).over(order), F.lead("n", 2).over(order))})
-    # members whose neighbours by size are too far off share this key with no possible partner
-    near = (den * F.col("down_n") >= num * F.col("n")) | (den * F.col("n") >= num * F.col("up_n"))
-    # a list of two is one pair: its places must allow as many shared keys as it needs
-    two = F.col("more").isNull() & (F.col("down_n").isNull() | F.col("up_n").isNull())
-    close = F.when(two, pair_fits(("n", "pos"), (F.coalesce("down_n", "up_n"), F.coalesce("down_pos", "up_pos")), limit, num, den)).otherwise(near)
-    lists = scratch.write(rows.where(close).select("key", "sig", "n", "pos"), "lists")
+    # lists are made by shares of the keys, one after another, as what is shuffled and sorted for them takes most disk of all
+    parts = [scratch.write(neighboured(postings(docs, rank, limit, words, num, den, k, SHARES), limit, num, den), f"lists-{k}") for k in range(SHARES)]
+    lists = reduce(DataFrame.unionByName, parts)
     # a set that shares fewer keys than any pair of its size must share links with nothing
     enough = need_keys((-F.floor(F.lit(-num) * F.col("n") / den)).cast("int"), limit, num, den)
     busy = lists.groupBy("sig", "n").agg(F.count("*").alias("keys")).where(F.col("keys") >= enough).select("sig", "keys")
     lists = lists.join(busy, "sig")
     several = lists.groupBy("key").agg(F.count("*").alias("m")).where("m > 1").select("key")
     shared = scratch.write(lists.join(several, "key", "left_semi"), "shared")
-    scratch.drop("lists")
+    scratch.drop(*(f"lists-{k}" for k in range(SHARES)))
 
     # whole sets of the classes that share enough keys
     first = members.where("n > 0").groupBy("sig").agg(F.min("rid").alias("rid"))

@@ -706,3 +706,16 @@ def test_decontamination_of_very_long_texts(spark):
     docs = [(0, "x " * 5_000_000 + short), (1, f"a b c {item} d"), (2, "y" * 6_000_000 + " " + short.upper())]
     got = contaminated(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([(1, item), (2, short)], "item_id long, text string")).collect()
     assert {(r["doc_id"], r["item_id"], r["similarity"], r["first_word"]) for r in got} == {(0, 2, 1.0, 5_000_000), (1, 1, 1.0, 3), (2, 2, 1.0, 1)}
+
+
+def test_lists_by_shares_of_the_keys(spark):
+    """What is shuffled for lists at once is a share of the keys, and the shares together are all rows, each once."""
+    from gazetta.llm import jaccard
+
+    texts = [(" ".join(f"w{(k * 7 + j) % 90}" for j in range(8 + k)),) for k in range(40)]
+    docs, rank = spark.createDataFrame(texts, "text string"), spark.sparkContext.broadcast(np.zeros(jaccard.BUCKETS, np.uint8))
+    rows = lambda *share: [tuple(r) for r in jaccard.postings(docs, rank, 12, 5, 3, 4, *share).collect()]
+    whole, parts = rows(), [rows(k, jaccard.SHARES) for k in range(jaccard.SHARES)]
+    assert jaccard.SHARES > 1 and all(0 < len(p) < len(whole) for p in parts)
+    assert sorted(r for p in parts for r in p) == sorted(whole)
+    assert not set.intersection(*({r[0] for r in p} for p in parts))
