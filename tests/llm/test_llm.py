@@ -719,3 +719,22 @@ def test_lists_by_shares_of_the_keys(spark):
     assert jaccard.SHARES > 1 and all(0 < len(p) < len(whole) for p in parts)
     assert sorted(r for p in parts for r in p) == sorted(whole)
     assert not set.intersection(*({r[0] for r in p} for p in parts))
+
+
+def test_byte_pairs_of_all_learning_texts(spark, monkeypatch):
+    """Neighbours of bytes are counted in every learning text, as in the words spelled one by one."""
+    from gazetta.llm import mixing
+
+    texts = ["", "Ab  c\t", " é", "ab", "\n", "x y", "ABC ü\x0b\x0cq", "last"]
+    want = np.zeros(1 << 16)
+    for w in (w for t in texts for w in t.lower().split()):
+        b = [mixing.END, *w.encode(), mixing.END]
+        for one, two in zip(b, b[1:]):
+            want[one << 8 | two] += 1
+    df = spark.createDataFrame([(t,) for t in texts], "text string").coalesce(1)
+    assert (mixing.byte_pairs(df) == want).all()
+    seen = []
+    monkeypatch.setattr(mixing, "byte_pairs", lambda docs, was=mixing.byte_pairs: seen.append(docs.count()) or was(docs))
+    docs = spark.createDataFrame([(k, f"word{k} and more words {k}") for k in range(40)], "doc_id long, text string")
+    rows = mixing.score(docs).collect()
+    assert seen == [sum(not r["held_out"] for r in rows)] and 0 < seen[0] < 40
