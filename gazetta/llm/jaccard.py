@@ -86,10 +86,12 @@ def profile(docs: DataFrame, words: int) -> DataFrame:
                 prints.append(fingerprint(x) if len(x) else 0)
             none = pa.nulls(len(sizes))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()), none.cast(pa.int32()), none.cast(pa.binary())], names)
-        blocks = [k for k in range(BUCKETS // BLOCK) if total[k * BLOCK : (k + 1) * BLOCK].any()]
-        none = pa.nulls(len(blocks)).cast(pa.int64())
-        task = pa.array([TaskContext.get().partitionId()] * len(blocks), pa.int64())  # in place of a size
-        yield pa.RecordBatch.from_arrays([none, none, task, none, pa.array(blocks, pa.int32()), pa.array([shrunk(total[k * BLOCK : (k + 1) * BLOCK]) for k in blocks], pa.binary())], names)
+        full = [k for k in range(BUCKETS // BLOCK) if total[k * BLOCK : (k + 1) * BLOCK].any()]
+        for lo in range(0, len(full), 16):  # all blocks at once would be as large as the histogram
+            blocks = full[lo : lo + 16]
+            none = pa.nulls(len(blocks)).cast(pa.int64())
+            task = pa.array([TaskContext.get().partitionId()] * len(blocks), pa.int64())  # in place of a size
+            yield pa.RecordBatch.from_arrays([none, none, task, none, pa.array(blocks, pa.int32()), pa.array([shrunk(total[k * BLOCK : (k + 1) * BLOCK]) for k in blocks], pa.binary())], names)
 
     return docs.mapInArrow(run, "doc_id long, rid long, n long, sig long, block int, counts binary")
 
@@ -272,8 +274,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # whole sets of the classes that share enough keys
     first = members.where("n > 0").groupBy("sig").agg(F.min("rid").alias("rid"))
     keep = scratch.write(shared.select("sig").distinct().join(first, "sig").select("rid"), "wanted")
-    texts = docs.select(F.col("rid").alias("id"), "text")
-    sets = whole_sets(bloomed(texts, keep).join(keep.select(F.col("rid").alias("id")), "id", "left_semi"), words)
+    sets = whole_sets(of_ids(docs.select(F.col("rid").alias("id"), "text"), keep.select(F.col("rid").alias("id"))), words)
     sets = scratch.write(sets.dropDuplicates(["sig"]), "sets")
     scratch.drop("wanted")
 
@@ -384,14 +385,16 @@ def whole_sets(docs: DataFrame, words: int) -> DataFrame:
     def run(batches):
         for batch in batches:
             rows: list[tuple] = []
+            held = 0
             for _, x in sets_of(batch.column(0), words):
                 if len(x):
                     with np.errstate(over="ignore"):
                         low = [int(K.mix(x + np.uint64(k + 1) * np.uint64(0x9E3779B97F4A7C15)).min().astype(np.int64)) for k in range(SKETCH)]
                     rows.append((fingerprint(x), len(x), x.tobytes(), low))
-                if len(rows) >= 500:
+                    held += x.nbytes
+                if len(rows) >= 500 or held > 1 << 22:
                     yield flush(rows)
-                    rows = []
+                    rows, held = [], 0
             yield flush(rows)
 
     def flush(rows):
@@ -401,6 +404,15 @@ def whole_sets(docs: DataFrame, words: int) -> DataFrame:
     return docs.select("text").mapInArrow(run, "sig long, n int, items binary, sketch array<long>")
 
 
+def of_ids(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of `docs` whose id is among `ids`.
+
+    They move by id, also where the ids are few: after a broadcast join the filter and the UDF that reads the rows would share a stage, and each core
+    hold two Python workers, which stay for the other stages.
+    """
+    return bloomed(docs, ids).join(ids.hint("merge"), "id", "left_semi")
+
+
 def bloomed(docs: DataFrame, ids: DataFrame, bits: int = 1 << 24) -> DataFrame:
     """`docs` without most rows whose id is not among `ids`: a Bloom filter of a fixed size (2 MB) ahead of the exact join."""
 

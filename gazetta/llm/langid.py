@@ -25,7 +25,7 @@ from .shared import small_batches
 
 BITS = 16
 GRAMS = (2, 3, 4)
-STRETCH = 1 << 20  # bytes scored at a time
+STRETCH = 1 << 18  # bytes scored at a time; some 60 bytes of arrays for each
 _FOLD = np.arange(256, dtype=np.uint32)
 _FOLD[65:91] += 32
 _FOLD[[9, 10, 11, 12, 13]] = 32
@@ -133,7 +133,7 @@ def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int,
         room -= 8 * min(len(GRAMS) * (r["n"] or 0), 1 << BITS)
         if room < 0 and ids:
             break
-        ids.append((r["doc_id"],))
+        ids.append(r["doc_id"])
     if not ids:
         return None
 
@@ -145,7 +145,8 @@ def learn(docs: DataFrame, fit_rows: int, fit_bytes: int, dim: int, epochs: int,
                 found += [bag(data[a:b]) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([a.astype(np.int32).tobytes() for a, _ in found], pa.binary()), pa.array([b.astype(np.float32).tobytes() for _, b in found], pa.binary())], ["doc_id", "lang", "idx", "share"])
 
-    some = F.broadcast(docs.sparkSession.createDataFrame(ids, "doc_id long"))  # at most fit_rows
+    # at most fit_rows; from Arrow, as a list of tuples would start Python workers of another kind beside those of the UDFs
+    some = F.broadcast(docs.sparkSession.createDataFrame(pa.table({"doc_id": pa.array(ids, pa.int64())})))
     one = F.min(F.struct("lang", "idx", "share")).alias("x")  # of rows that repeat an id
     got = docs.join(some, "doc_id").select("doc_id", "lang", "text").mapInArrow(rows, "doc_id long, lang string, idx binary, share binary").groupBy("doc_id").agg(one).select("doc_id", "x.*").toArrow()
     told = got["lang"].to_pylist()

@@ -55,23 +55,30 @@ def encoder(path: str):
 LONG = re.compile(r"(?<!\s)\s{10000}")
 
 
+@lru_cache(4)
+def plain(path: str, added: bool):
+    """The tokenizer of `tokenizers`."""
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path)
+    whole.encode_special_tokens = not added
+    return whole
+
+
 @lru_cache(4)
 def encode(path: str, added: bool):
     """A function from a text to its ids, which are those of `tokenizers`.
 
     Texts with a long whitespace run go to `tokenizers` itself, and so do texts that hold an added token, which is
-    one id if `added` and ordinary text otherwise.
+    one id if `added` and ordinary text otherwise; it takes 32 MB and is read when the first such text comes.
     """
-    from tokenizers import Tokenizer
-
-    fast, whole = encoder(path), Tokenizer.from_file(path)
-    whole.encode_special_tokens = not added
+    fast = encoder(path)
     with open(path, encoding="utf-8") as f:
         tokens = [t["content"] for t in json.load(f).get("added_tokens", ())]
 
     def run(text: str) -> list[int]:
         if any(t in text for t in tokens) or (len(text) >= 10_000 and LONG.search(text)):
-            return whole.encode(text, add_special_tokens=False).ids
+            return plain(path, added).encode(text, add_special_tokens=False).ids
         return fast.encode_ordinary(text)
 
     return run
